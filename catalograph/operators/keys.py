@@ -79,17 +79,25 @@ def relationship_parts(roles: DataFrame, hub_targets: int = HUB_TARGETS,
     """
     foreign = _match_keys(roles.where(F.col("key_role") == FOREIGN))
     primary = _match_keys(roles.where(F.col("key_role") == PRIMARY))
-    sizes = (primary.groupBy("match_key").agg(F.count(F.lit(1)).alias("targets"))
-             .join(foreign.groupBy("match_key").agg(F.count(F.lit(1)).alias("sources")), "match_key"))
+    def measured(frame: DataFrame, rows: str, low: str, high: str) -> DataFrame:
+        return frame.groupBy("match_key").agg(F.count(F.lit(1)).alias(rows), F.min("signature").alias(low),
+                                              F.max("signature").alias(high))
+
+    sizes = measured(primary, "targets", "p_low", "p_high").join(
+        measured(foreign, "sources", "f_low", "f_high"), "match_key")
+    # An equal name adds pairs only where signatures differ.
+    live = F.col("match_key").startswith("S:") | (
+        F.least("p_low", "f_low") != F.greatest("p_high", "f_high"))
     salts = F.ceil(F.col("sources") / foreign_per_salt).cast("int")
-    hub = F.col("targets") > hub_targets
-    # Keys that need salts, and hubs, are at most rows / foreign_per_salt and
-    # primaries / hub_targets in number; both lists are broadcast.
-    salted = F.broadcast(sizes.where((salts > 1) & ~hub).select("match_key", salts.alias("salts")))
-    hubs = F.broadcast(sizes.where(hub).select("match_key", F.col("targets").alias("hub_targets")))
+    large = F.col("targets") > hub_targets
+    # Keys that need salts, and large keys, are at most rows / foreign_per_salt
+    # and primaries / hub_targets in number; both lists are broadcast.
+    salted = F.broadcast(sizes.where((salts > 1) & ~large).select("match_key", salts.alias("salts")))
+    factored = F.broadcast(sizes.where(large).select(
+        "match_key", F.col("targets").alias("hub_targets"), live.alias("live")))
 
     def spread(frame: DataFrame, salt: Column) -> DataFrame:
-        return (frame.join(hubs, "match_key", "left_anti").join(salted, "match_key", "left")
+        return (frame.join(factored, "match_key", "left_anti").join(salted, "match_key", "left")
                 .withColumn("salt", salt).drop("salts"))
 
     one = F.coalesce("salts", F.lit(1))
@@ -105,7 +113,7 @@ def relationship_parts(roles: DataFrame, hub_targets: int = HUB_TARGETS,
         (F.col("from_table") != F.col("to_table"))
         & (F.col("match_key").startswith("S:") | (F.col("from_signature") != F.col("to_signature"))))
     members = (foreign.withColumn("side", F.lit("FROM")).unionByName(primary.withColumn("side", F.lit("TO")))
-               .join(hubs, "match_key").select("match_key", "side", "source_table", "source_column",
+               .join(factored.where("live"), "match_key").select("match_key", "side", "source_table", "source_column",
                                                "physical_type", "hub_targets"))
     return _describe(pairs), members
 
@@ -135,7 +143,11 @@ def relationship_candidates(roles: DataFrame, **limits: int) -> DataFrame:
 
 
 def relationship_hubs(roles: DataFrame, **limits: int) -> DataFrame:
-    """Members of match keys above the hub bound: any FROM links to any other-table TO of its key."""
+    """Members of match keys above the hub bound.
+
+    Any FROM row links to any TO row of its key in another table; under an
+    ``N:`` key only where the signatures differ.
+    """
     return relationship_parts(roles, **limits)[1]
 
 
@@ -200,7 +212,7 @@ def relationship_evidence(candidates: DataFrame, hubs: DataFrame | None = None)
         lines = lines.unionByName(hubs.where(F.col("side") == "FROM")
                                   .select("source_table", "source_column", text.alias("line")))
     return lines.groupBy("source_table", "source_column").agg(
-        F.array_join(F.array_sort(F.collect_list("line")), "; ").alias("relationship_evidence"))
+        F.array_join(F.array_sort(F.collect_set("line")), "; ").alias("relationship_evidence"))
 
 
 def relationship_strength(signature: Column, candidate_strength: Column) -> Column:
