@@ -35,3 +35,12 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], rows_col:
                     F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     replicated = lookup.withColumn("__salt", F.explode(copies)).drop(rows_col)
     return scattered.join(replicated, [*keys, "__salt"], how).drop("__salt")
+
+
+def spread(frame: DataFrame, *columns: str) -> DataFrame:
+    """Repartition before row-heavy expressions.
+
+    Adaptive execution merges shuffle partitions by bytes; distinct names are
+    few bytes but much work per row, so their partition count is fixed here.
+    """
+    return frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

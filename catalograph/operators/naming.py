@@ -7,9 +7,12 @@ cost follows the number of shared words and not names x concepts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.functions.skew import spread
 from catalograph.functions.text import name_parts, naming_convention, title_case
 from catalograph.sources.packs import token_options, token_pattern
 
@@ -110,16 +113,20 @@ def concept_matches(expansions: DataFrame, concepts: DataFrame, strengths: dict)
             .select("expanded", "concept_id", strength[F.col("kind")].alias("strength"), "kind"))
 
 
-def classify_names(names: DataFrame, concepts: DataFrame, pack: dict,
-                   column: str = "source_column") -> DataFrame:
+def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: str = "source_column",
+                   store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Resolve each distinct name to one concept, or leave it to a steward.
 
     Order: exact physical variant, ambiguous token, unique strongest match, tie,
-    fallback. ``names`` must be unique per ``column``.
+    fallback. ``names`` must be unique per ``column``. The hypotheses are read
+    three times below; ``store(frame, name)`` may write them once and return
+    the written relation.
     """
     strengths = pack["strengths"]
     version = f"via {pack['pack_id']} v{pack['pack_version']}"
-    hyps = name_hypotheses(names, pack, column)
+    hyps = name_hypotheses(spread(names, column), pack, column)
+    if store is not None:
+        hyps = store(hyps, "name_hypotheses")
     exploded = hyps.select(column, F.explode("hypotheses.expanded").alias("expanded"))
     per_text = (concept_matches(exploded, concepts, strengths).groupBy("expanded")
                 .agg(F.collect_list(F.struct("strength", "concept_id", "kind")).alias("found")))
@@ -134,14 +141,14 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict,
               .join(index, F.lower(F.col(column)) == F.col("variant"), "left").drop("variant"))
     none = F.array().cast("array<struct<strength:double,concept_id:string,kind:string>>")
     found = F.coalesce("found", none)
-    top = F.array_max(F.transform(found, lambda m: m["strength"]))
+    top = F.col("top_strength")
     expanded = F.col("hypotheses.expanded")
     case_text = title_case(F.get(expanded, F.lit(0)))
-    prepared = joined.withColumns({
+    prepared = joined.withColumn(
+        "top_strength", F.array_max(F.transform(found, lambda m: m["strength"]))).withColumns({
         "candidates": F.array_sort(F.array_distinct(F.transform(found, lambda m: m["concept_id"]))),
         "tops": F.array_sort(F.array_distinct(F.transform(
             F.filter(found, lambda m: m["strength"] == top), lambda m: m["concept_id"]))),
-        "top_strength": top,
         "top_kind": F.get(F.filter(found, lambda m: m["strength"] == top), F.lit(0))["kind"],
         "proposed": case_text,
         "ambiguous": F.size("ambiguous_tokens") > 0,

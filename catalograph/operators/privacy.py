@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.functions.small import sql_literal
 from catalograph.operators.profile import quoted
 from catalograph.sources.packs import MAX_CHAIN_RULES
 
@@ -24,27 +25,21 @@ def classify_privacy(hypothesised: DataFrame, pack: dict, column: str = "source_
     rules = [*pack.get("exceptions", []), *pack["rules"], pack["default"]]
     if len(rules) > MAX_CHAIN_RULES:
         raise ValueError(f"{len(rules)} privacy rules exceed {MAX_CHAIN_RULES}")
-    raw = F.lower(F.col(column))
-
-    def first_match(expanded: Column) -> Column:
-        chain = None
-        for position, rule in enumerate(rules[:-1]):
-            hit = (expanded if rule["match_on"] == "expanded" else raw).rlike(rule["pattern"])
-            chain = F.when(hit, position) if chain is None else chain.when(hit, position)
-        last = F.lit(len(rules) - 1)
-        return last if chain is None else chain.otherwise(last)
-
-    def literals(field: str) -> Column:
-        return F.array(*[F.lit(r[field]) for r in rules])
-
-    ranks = F.array(*[F.lit(RESTRICTION.get(r["privacy_class"], 3)) for r in rules])
-    verdicts = F.transform("hypotheses", lambda h, i: F.struct((-i).alias("order"), first_match(h["expanded"]).alias("rule")))
-    ranked = F.transform(verdicts, lambda v: F.struct(
-        F.element_at(ranks, v["rule"] + 1).alias("rank"), v["order"].alias("order"), v["rule"].alias("rule")))
-    return hypothesised.withColumn("__rule", F.array_max(ranked)["rule"] + 1).withColumns({
-        "privacy_class": F.element_at(literals("privacy_class"), F.col("__rule")),
-        "privacy_rationale": F.element_at(literals("rationale"), F.col("__rule")),
-        "privacy_rule_id": F.element_at(literals("rule_id"), F.col("__rule")),
+    subject = {"expanded": "h.expanded", "raw": f"lower(`{column}`)"}
+    cases = " ".join(f"WHEN {subject[r['match_on']]} RLIKE {sql_literal(r['pattern'])} THEN {i}"
+                     for i, r in enumerate(rules[:-1]))
+
+    def literals(values: list) -> str:
+        return "array(" + ", ".join(sql_literal(v) for v in values) + ")"
+
+    ranks = literals([RESTRICTION.get(r["privacy_class"], 3) for r in rules])
+    first = f"CASE {cases} ELSE {len(rules) - 1} END" if cases else "0"
+    ranked = (f"transform(transform(hypotheses, (h, i) -> named_struct('o', -i, 'r', {first})), "
+              f"v -> named_struct('rank', element_at({ranks}, v.r + 1), 'o', v.o, 'r', v.r))")
+    return hypothesised.withColumn("__rule", F.expr(f"array_max({ranked}).r + 1")).withColumns({
+        "privacy_class": F.expr(f"element_at({literals([r['privacy_class'] for r in rules])}, __rule)"),
+        "privacy_rationale": F.expr(f"element_at({literals([r['rationale'] for r in rules])}, __rule)"),
+        "privacy_rule_id": F.expr(f"element_at({literals([r['rule_id'] for r in rules])}, __rule)"),
     }).drop("__rule")
 
 

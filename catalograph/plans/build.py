@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from catalograph.operators import naming, privacy, profile, scoring
 from catalograph.sources.packs import load_pack
 
 KEYS = ["source_table", "source_column"]
+Store = Callable[[DataFrame, str], DataFrame]
 
 
 @dataclass
@@ -35,11 +37,12 @@ class RunContext:
                                               "engagement_id", "source_system")}
 
 
-def classified_names(attributes: DataFrame, concepts: DataFrame, context: RunContext) -> DataFrame:
+def classified_names(attributes: DataFrame, concepts: DataFrame, context: RunContext,
+                     store: Store | None = None) -> DataFrame:
     """Naming and privacy of each distinct column name, with how many attributes bear it."""
     names = attributes.groupBy("source_column").agg(F.count(F.lit(1)).alias("name_rows"))
     packs = context.packs
-    named = naming.classify_names(names.select("source_column"), concepts, packs["naming"])
+    named = naming.classify_names(names.select("source_column"), concepts, packs["naming"], store=store)
     named = privacy.classify_privacy(named, packs["privacy"])
 
     def refs(pack: dict, rule_ids: Column) -> Column:
@@ -55,13 +58,19 @@ def classified_names(attributes: DataFrame, concepts: DataFrame, context: RunCon
 
 def attribute_observations(attributes: DataFrame, concepts: DataFrame, context: RunContext,
                            created_at: Column, hot_rows: int = HOT_ROWS,
-                           roles: DataFrame | None = None) -> DataFrame:
-    """One governed observation per attribute; rules run per distinct name, links per key group."""
-    roles = K.key_roles(attributes, hot_rows) if roles is None else roles
+                           roles: DataFrame | None = None, store: Store | None = None) -> DataFrame:
+    """One governed observation per attribute; rules run per distinct name, links per key group.
+
+    ``store(frame, name)`` writes relations that several parts read (roles and
+    name hypotheses) once; without it they are planned again in each part.
+    """
+    if roles is None:
+        roles = K.key_roles(attributes, hot_rows)
+        roles = store(roles, "key_roles") if store is not None else roles
     candidates, hubs = K.relationship_parts(roles)
     evidence = K.relationship_evidence(candidates, hubs)
     strengths = K.relationship_strengths(roles, hot_rows)
-    named = classified_names(attributes, concepts, context)
+    named = classified_names(attributes, concepts, context, store)
     linked = roles.join(strengths, KEYS, "left").join(evidence, KEYS, "left")
     joined = lookup_join(linked, named, ["source_column"], "name_rows", hot_rows=hot_rows)
     conflict = F.coalesce("candidate_conflict", F.lit(False))

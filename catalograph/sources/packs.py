@@ -9,7 +9,7 @@ from importlib.resources import files
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.functions.small import rule_frame
+from catalograph.functions.small import rule_frame, sql_literal
 
 # Rules above these counts no longer belong into literal expressions.
 MAX_TOKENS = 5_000
@@ -70,9 +70,9 @@ def token_options(pack: dict) -> Column:
     options: dict[str, list[dict]] = {}
     for rule in pack["token_rules"]:
         options.setdefault(rule["token"].upper(), []).append(rule)
-    pairs = []
-    for token, rules in options.items():
-        pairs += [F.lit(token), F.array(*[
-            F.struct(F.lit(r["expansion"]).alias("expansion"), F.lit(r["rule_id"]).alias("rule_id"))
-            for r in rules])]
-    return F.create_map(*pairs)
+    pairs = [
+        f"{sql_literal(token)}, array(" + ", ".join(
+            f"named_struct('expansion', {sql_literal(r['expansion'])}, 'rule_id', {sql_literal(r['rule_id'])})"
+            for r in rules) + ")"
+        for token, rules in options.items()]
+    return F.expr(f"map({', '.join(pairs)})")

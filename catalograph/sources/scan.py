@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalograph.functions.small import local_frame
+
 INVENTORY_SCHEMA = (
     "source_table string, source_column string, ordinal_position int, "
     "physical_type string, nullable boolean"
@@ -54,11 +56,12 @@ def require_none(violations: DataFrame, message: str) -> None:
 def attribute_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """One row per column, ordinals from 1, from DataFrame schemas alone (no job)."""
     rows = [
-        (name, field.name, position, str(field.dataType), field.nullable)
+        {"source_table": name, "source_column": field.name, "ordinal_position": position,
+         "physical_type": str(field.dataType), "nullable": field.nullable}
         for name, frame in tables.items()
         for position, field in enumerate(frame.schema.fields, start=1)
     ]
-    return spark.createDataFrame(rows, INVENTORY_SCHEMA)
+    return local_frame(spark, rows, INVENTORY_SCHEMA)
 
 
 def inventory_from_catalog(columns: DataFrame, table: str = "table_name", column: str = "column_name",

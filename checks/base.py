@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalograph.functions.shared import written
 from catalograph.plans.build import RunContext
 from catalograph.sources.packs import concept_frame, load_pack, token_pattern
 
@@ -49,44 +50,63 @@ def _attribute(name, ordinal, kind, nullable):
                     lit(kind).alias("physical_type"), lit(nullable).alias("nullable"))
 
 
-def _from_vocabulary(index, ordinal):
-    words = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(t).alias("t"), F.lit(b).alias("b"))
-                      for n, t, b in VOCABULARY])
-    word = F.element_at(words, index.cast("int") + 1)
-    return _attribute(word["n"], ordinal, word["t"], word["b"])
+_WORDS = "array(" + ", ".join(
+    f"named_struct('source_column', '{n}', 'physical_type', '{t}', 'nullable', {str(b).lower()})"
+    for n, t, b in VOCABULARY) + ")"
+
+
+def _from_vocabulary(index: str, ordinal: int):
+    word = f"element_at({_WORDS}, cast({index} as int) + 1)"
+    return F.expr(f"named_struct('source_column', {word}.source_column, 'ordinal_position', {ordinal}, "
+                  f"'physical_type', {word}.physical_type, 'nullable', {word}.nullable)")
 
 
 def _entity(prefix, key):
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """A relation written on first use of this session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = written(make(), name)
+    return _WRITTEN[key]
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived catalogue, written once: the source relation of the queries on it."""
+    return once(spark, sf_dir, "catalogue", lambda: catalogue_plan(spark, sf_dir))
+
+
+def catalogue_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribute rows: source_table, source_column, ordinal_position, physical_type, nullable."""
     c = F.col
     ok, ck = c("o_orderkey"), c("o_custkey")
     cust = _entity("cust", ck)
-    first = ok % N
     orders = table(spark, sf_dir, "orders").select(_entity("stg_ord", ok).alias("source_table"), F.inline(F.array(
         _attribute(F.concat(_entity("ord", ok), F.lit("_id")), 1, "LongType()", False),
         _attribute(F.when(c("o_orderstatus") == "O", F.concat(cust, F.lit("_id")))
                    .when(c("o_orderstatus") == "F", F.concat(F.lit("bill_to_"), cust, F.lit("_id")))
                    .otherwise(F.concat(_entity("Cust", ck), F.lit("Id"))), 2,
                    F.when(c("o_orderpriority") == "1-URGENT", "StringType()").otherwise("LongType()"), True),
-        _from_vocabulary(first, 3),
-        _from_vocabulary((first + 1 + ck % (N - 1)) % N, 4),
+        _from_vocabulary(f"o_orderkey % {N}", 3),
+        _from_vocabulary(f"(o_orderkey % {N} + 1 + o_custkey % {N - 1}) % {N}", 4),
         _attribute(_entity("FLD", ck % 1000), 5, "StringType()", True))))
     key = c("c_custkey")
     customers = table(spark, sf_dir, "customer").select(_entity("src_cust", key).alias("source_table"), F.inline(F.array(
         _attribute(F.concat(_entity("cust", key), F.lit("_id")), 1, "LongType()", False),
         _attribute(F.concat(_entity("nation", c("c_nationkey")), F.lit("_key")), 2, "IntegerType()", True),
-        _from_vocabulary(key % N, 3),
+        _from_vocabulary(f"c_custkey % {N}", 3),
         _attribute(F.when(key % 10 == 0, "id").otherwise("mkt_segment_cd"), 4, "StringType()", True))))
     part = c("p_partkey")
     parts = table(spark, sf_dir, "part").select(_entity("part", part).alias("source_table"), F.inline(F.array(
         _attribute("id", 1, F.when(c("p_size") > 25, "LongType()").otherwise("StringType()"), False),
         _attribute(F.replace(c("p_name"), F.lit(" "), F.lit("_")), 2, "DoubleType()", True),
         _attribute(F.concat(F.replace(c("p_brand"), F.lit("#"), F.lit("_")), F.lit("Amt")), 3, "StringType()", True),
-        _from_vocabulary(part % N, 4))))
+        _from_vocabulary(f"p_partkey % {N}", 4))))
     supplier = c("s_suppkey")
     suppliers = table(spark, sf_dir, "supplier").select(
         _entity("staging_supp", supplier).alias("source_table"), F.inline(F.array(

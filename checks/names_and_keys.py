@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalograph.functions import text as X
+from catalograph.functions.shared import written
+from catalograph.functions.skew import spread
 from catalograph.operators import keys as K
 from catalograph.operators import naming, privacy, profile, scoring
 from catalograph.plans import build
@@ -30,7 +32,8 @@ def query(sql: str | None):
 def _words(spark, sf_dir):
     """Distinct words of all documents, as column names to be read."""
     return (table(spark, sf_dir, "documents")
-            .select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z0-9_]+)"))).alias("source_column")).distinct())
+            .select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z0-9_]+)"))).alias("source_column")).distinct()
+            .transform(spread, "source_column"))
 
 
 _WORDS = "names AS (SELECT DISTINCT unnest(regexp_extract_all(text, '([A-Za-z0-9_]+)')) AS source_column FROM documents)"
@@ -58,7 +61,7 @@ def name_segments(spark, sf_dir):
        "row_number() OVER (PARTITION BY source_column ORDER BY path) - 1 AS position FROM hyp")
 def name_hypotheses(spark, sf_dir):
     """Every expansion of every catalogue name, in rule order."""
-    names = catalogue(spark, sf_dir).select("source_column").distinct()
+    names = spread(catalogue(spark, sf_dir).select("source_column").distinct(), "source_column")
     found = naming.name_hypotheses(names, load_pack("naming"))
     return (found.select("source_column", "name_status", F.posexplode("hypotheses").alias("position", "h"))
             .select("source_column", "h.expanded", "h.rules", "name_status", "position"))
@@ -68,7 +71,7 @@ def name_hypotheses(spark, sf_dir):
 def name_match(spark, sf_dir):
     """The concept, name and contradiction of every catalogue name."""
     names = catalogue(spark, sf_dir).select("source_column").distinct()
-    named = naming.classify_names(names, concepts(spark), load_pack("naming"))
+    named = naming.classify_names(names, concepts(spark), load_pack("naming"), store=written)
     return (named.withColumns({"rule_ids": F.array_join("rule_ids", ","),
                                "semantic_candidates": F.array_join("semantic_candidates", ",")})
             .drop("hypotheses", "naming_contradicted"))
@@ -80,7 +83,8 @@ def name_match(spark, sf_dir):
 def privacy_classify(spark, sf_dir):
     """V1-V3: privacy class of every attribute."""
     attributes = catalogue(spark, sf_dir)
-    names = naming.name_hypotheses(attributes.select("source_column").distinct(), load_pack("naming"))
+    names = naming.name_hypotheses(
+        spread(attributes.select("source_column").distinct(), "source_column"), load_pack("naming"))
     classes = privacy.classify_privacy(names, load_pack("privacy"))
     return attributes.select("source_table", "source_column").join(
         classes.select("source_column", "privacy_class", "privacy_rationale", "privacy_rule_id"), "source_column")
@@ -132,7 +136,7 @@ def pack_resolve_asof(spark, sf_dir):
        "FROM named n JOIN private USING (source_column)")
 def provenance_references(spark, sf_dir):
     """Evidence references of every distinct name."""
-    named = build.classified_names(catalogue(spark, sf_dir), concepts(spark), RUN)
+    named = build.classified_names(catalogue(spark, sf_dir), concepts(spark), RUN, written)
     return named.select("source_column", F.array_join("rule_references", ";").alias("rule_references"))
 
 
@@ -142,7 +146,7 @@ def provenance_references(spark, sf_dir):
 def type_strength(spark, sf_dir):
     """Type family and its agreement with the concept type."""
     attributes = catalogue(spark, sf_dir)
-    named = naming.classify_names(attributes.select("source_column").distinct(), concepts(spark), load_pack("naming"))
+    named = naming.classify_names(attributes.select("source_column").distinct(), concepts(spark), load_pack("naming"), store=written)
     joined = attributes.join(named.select("source_column", "ontology_concept_type"), "source_column")
     pack, kind = load_pack("types"), F.col("physical_type")
     return joined.select("source_table", "source_column", "physical_type",
@@ -163,7 +167,7 @@ def name_signatures(spark, sf_dir):
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL} SELECT source_table, source_column, signature, key_role FROM roles")
 def key_roles(spark, sf_dir):
     """K3: key role of every attribute in its table."""
-    return roles(spark, sf_dir).select("source_table", "source_column", "signature", "key_role")
+    return K.key_roles(catalogue(spark, sf_dir)).select("source_table", "source_column", "signature", "key_role")
 
 
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL} SELECT source_table, source_column, CASE WHEN signature IS NULL THEN 'NON_KEY' "

@@ -15,25 +15,15 @@ from catalograph.operators.scoring import WEIGHTS
 from catalograph.plans import build
 from catalograph.sources.packs import load_pack
 from checks.base import (BROKEN, CATALOGUE_SQL, CREATED, HYPOTHESES_SQL, NAMED_SQL, PRIVACY_SQL, RUN, catalogue,
-                         concepts, rounded)
-
-_WRITTEN: dict[tuple, DataFrame] = {}
-
-
-def once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """A relation written on first use of this session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = written(make(), name)
-    return _WRITTEN[key]
-
+                         concepts, once, rounded)
 
 def created():
     return F.lit(CREATED).cast("timestamp_ntz")
 
 
 def observations_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.attribute_observations(catalogue(spark, sf_dir), concepts(spark), RUN, created())
+    return build.attribute_observations(catalogue(spark, sf_dir), concepts(spark), RUN, created(),
+                                        roles=roles(spark, sf_dir), store=written)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +31,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.key_roles(catalogue(spark, sf_dir))
+    """Attributes with key roles, written once: every link query reads it several times."""
+    return once(spark, sf_dir, "roles", lambda: K.key_roles(catalogue(spark, sf_dir)))
 
 
 _TYPES = load_pack("types")
