@@ -107,7 +107,7 @@ def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFr
     give the same key, a changed value or type gives another.
     """
     columns = columns or df.columns
-    schema = ",".join(f"{f.name}:{f.dataType.simpleString()}:{f.nullable}"
+    schema = ",".join(f"{f.name}:{f.dataType.simpleString()}:{str(f.nullable).lower()}"
                       for f in df.schema.fields if f.name in columns)
     row = F.sha2(F.to_json(F.struct(*[quoted(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
     lanes = [F.sum(F.conv(F.substring("h", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")) for i in range(8)]

@@ -1,5 +1,5 @@
 """Queries over the given tables, each with the SQL that must give the same rows."""
 
-from checks import names_and_keys
+from checks import governance, integrity, names_and_keys, rows
 
-MODULES = (names_and_keys,)
+MODULES = (rows, names_and_keys, governance, integrity)
