@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalograph.operators.documentation import PROMPT_VERSION
 from catalograph.operators.review import latest_decisions
+from catalograph.operators.scoring import RESOLVE_AMBIGUITY, routed
 
 KEYS = ["source_table", "source_column"]
 # Evaluated fields, and the wording of a draft publication.
@@ -23,6 +24,24 @@ DICTIONARY_COLUMNS = (
     "assumptions", "open_question")
 
 
+def predictions(observations: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The evaluated fields per attribute; targets sorted and joined by ``|``.
+
+    The route is taken as if score, coverage and contradictions raised nothing,
+    so it shows privacy, key, relationship and mapping alone.
+    """
+    target = F.concat_ws(".", "to_table", "to_column")
+    targets = candidates.groupBy(F.col("from_table").alias("source_table"), F.col("from_column").alias("source_column")).agg(
+        F.array_join(F.array_sort(F.collect_set(target)), "|").alias("relationship_target"))
+    plain = routed(observations.withColumns({
+        "naming_contradicted": F.equal_null("open_question", F.lit(RESOLVE_AMBIGUITY)),
+        "confidence_score": F.lit(1.0), "evidence_coverage": F.lit(1.0), "contradictions": F.lit(None).cast("string")}))
+    return plain.join(targets, KEYS, "left").select(
+        *KEYS, "naming_contradicted", F.col("proposed_business_name").alias("business_name"),
+        F.col("ontology_concept_id").alias("ontology_concept"), "domain", "privacy_class", "key_role",
+        "relationship_target", F.coalesce("recommended_reviewer_role", F.lit("NONE")).alias("review_route"))
+
+
 def compare_labels(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     """Per label one ``<field>_match`` flag per evaluated field; null equals null."""
     p = predictions.select(*KEYS, "naming_contradicted", *[F.col(f).alias(f"p_{f}") for f in EVALUATED])

@@ -15,6 +15,7 @@ WEIGHTS = {"naming_strength": 0.35, "type_strength": 0.20, "relationship_strengt
            "cots_match_strength": 0.10, "standard_consistency": 0.10}
 COVERAGE_FLOOR = 0.60
 LOW_CONFIDENCE = 0.75
+RESOLVE_AMBIGUITY = "Resolve naming ambiguity using only the recorded ontology candidate set, or leave unresolved."
 
 
 def type_family(physical_type: Column, pack: dict, optional: bool = False) -> Column:
@@ -91,8 +92,7 @@ def assumption_texts(frame: DataFrame) -> DataFrame:
                               "Deterministic semantics unresolved; closed-candidate semantic "
                               "mapping or steward validation required."),
         "open_question": F.when(F.col("naming_contradicted"),
-                                "Resolve naming ambiguity using only the recorded ontology "
-                                "candidate set, or leave unresolved.")
+                                RESOLVE_AMBIGUITY)
         .when(F.col("confidence_score") < LOW_CONFIDENCE, "Confirm semantic meaning with data steward."),
     })
 

@@ -80,7 +80,8 @@ def wide_catalog(spark: SparkSession, tables: int, columns_per_table: int = 20,
     table_no = F.floor((F.col("id") - 1) / columns_per_table)
     ordinal = (F.pmod(F.col("id") - 1, F.lit(columns_per_table)) + 1).cast("int")
     entity = F.concat(F.lit("entity"), table_no.cast("string"))
-    linked = F.concat(F.lit("entity"), F.floor(_draw("link", seed) * tables).cast("string"))
+    other = F.pmod(table_no + 1 + F.floor(_draw("link", seed) * (tables - 1)), F.lit(tables))
+    linked = F.concat(F.lit("entity"), other.cast("string"))
     name = (F.when(ordinal == 1, F.concat(entity, F.lit("_id")))
             .when(ordinal == 2, F.concat(linked, F.lit("_id")))
             .otherwise(F.concat_ws("_", _pick(stems, "stem", seed), _pick(tails, "tail", seed),

@@ -225,7 +225,7 @@ def documentation_queue(spark, sf_dir):
     return W.documentation_queue(documentation(spark, sf_dir), observations(spark, sf_dir), created()).drop("queued_at")
 
 
-@query(obs_query("SELECT source_table, source_column, 1 AS attributes, 0 AS recommendations FROM obs WHERE ordinal_position = 5 AND starts_with(source_column, 'FLD7')"))
+@query(obs_query("SELECT source_table, source_column, 1::BIGINT AS attributes, 0::BIGINT AS recommendations FROM obs WHERE ordinal_position = 5 AND starts_with(source_column, 'FLD7')"))
 def queue_completeness(spark, sf_dir):
     """Attributes whose recommendation is absent."""
     docs = documentation(spark, sf_dir).where("NOT source_column LIKE 'FLD7%'")
@@ -334,8 +334,8 @@ def _tables_in(spark, sf_dir):
 
 _GATE_ROWS = """tables AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) + (SELECT count(*) FROM part)
   + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) AS n),
-a AS (SELECT count(*) AS rows, count_if(privacy_class = 'INTERNAL') AS internal, count_if(privacy_class <> 'INTERNAL') AS private,
- count_if(privacy_class = 'INTERNAL' AND key_role <> 'NON_KEY') AS keys FROM obs)"""
+a AS (SELECT count(*) AS rows, count_if(privacy_class = 'INTERNAL')::BIGINT AS internal, count_if(privacy_class <> 'INTERNAL')::BIGINT AS private,
+ count_if(privacy_class = 'INTERNAL' AND key_role <> 'NON_KEY')::BIGINT AS keys FROM obs)"""
 _ZERO = ("relationships stay proposed", "relationships go to the architect", "attributes keep references", "profiles are internal only",
          "documentation stays proposed", "documentation goes to the domain steward", "documentation keeps references",
          "documentation names the prompt version", "documentation names the endpoint", "private attributes stay undocumented",
@@ -344,7 +344,7 @@ _ZERO = ("relationships stay proposed", "relationships go to the architect", "at
 
 
 @query(obs_query(" UNION ALL ".join(
-    [f"SELECT '{z}' AS check_name, 0 AS observed, 0 AS expected, '=' AS comparison, true AS passed" for z in _ZERO]
+    [f"SELECT '{z}' AS check_name, 0::BIGINT AS observed, 0::BIGINT AS expected, '=' AS comparison, true AS passed" for z in _ZERO]
     + ["SELECT 'dictionary has rows', rows, 1, '>=', rows >= 1 FROM a", "SELECT 'attributes match dictionary', rows, rows, '=', true FROM a",
        "SELECT 'documentation matches dictionary', (SELECT count(*) FROM docs), rows, '=', (SELECT count(*) FROM docs) = rows FROM a",
        "SELECT 'one object per table', (SELECT count(DISTINCT source_table) FROM obs), n, '=', (SELECT count(DISTINCT source_table) FROM obs) = n FROM tables",
@@ -387,9 +387,9 @@ def distribution(spark, sf_dir):
     return E.distribution(observations(spark, sf_dir))
 
 
-@query(obs_query("""SELECT count(*) AS dictionary_rows, count_if(confidence_score IS NULL) AS null_confidence_rows, 0 AS auto_approved_rows,
- count_if(confidence_score < 0.75) AS low_confidence_rows, count_if(privacy_class <> 'INTERNAL') AS personal_data_rows,
- count_if(relationship_evidence IS NOT NULL) AS relationship_rows FROM obs"""))
+@query(obs_query("""SELECT count(*) AS dictionary_rows, count_if(confidence_score IS NULL)::BIGINT AS null_confidence_rows, 0::BIGINT AS auto_approved_rows,
+ count_if(confidence_score < 0.75)::BIGINT AS low_confidence_rows, count_if(privacy_class <> 'INTERNAL')::BIGINT AS personal_data_rows,
+ count_if(relationship_evidence IS NOT NULL)::BIGINT AS relationship_rows FROM obs"""))
 def validation_summary(spark, sf_dir):
     """Conditional counts of the dictionary."""
     return E.validation_summary(observations(spark, sf_dir))
@@ -439,7 +439,7 @@ def publication_overview(spark, sf_dir):
 
 
 @query(obs_query("""SELECT recommended_reviewer_role, count(*) AS items, count(reviewer_decision) AS decided, count(*) - count(reviewer_decision) AS open,
- count_if(reviewer_decision IN ('MODIFIED', 'REJECTED')) AS overridden,
+ count_if(reviewer_decision IN ('MODIFIED', 'REJECTED'))::BIGINT AS overridden,
  round(count_if(reviewer_decision IN ('MODIFIED', 'REJECTED')) / nullif(count_if(reviewer_decision IN ('APPROVED', 'MODIFIED', 'REJECTED')), 0), 6) AS override_rate,
  round(quantile_disc(epoch(decided_at - TIMESTAMP '2026-07-13 06:12:57') / 3600, 0.5), 6) AS median_turnaround_hours
  FROM queue LEFT JOIN last_dec USING (queue_item_id) GROUP BY recommended_reviewer_role""", _LATEST))
@@ -501,7 +501,7 @@ def pattern_and_match_rules(spark, sf_dir):
 
 @query("""WITH c AS (SELECT o_orderkey AS context_id, o_custkey % 3 = 0 AS auth, CASE WHEN o_custkey % 5 < 3 THEN 'APPROVED' ELSE 'PROPOSED' END AS need,
   o_orderdate::DATE AS dt, o_orderstatus AS scope FROM orders),
-i AS (SELECT c.*, l_linenumber, row_number() OVER (PARTITION BY context_id ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS item_position, l_returnflag, l_linestatus, l_partkey, l_suppkey, l_shipdate::DATE AS ship
+i AS (SELECT c.*, l_linenumber, row_number() OVER (PARTITION BY context_id ORDER BY l_linenumber, l_partkey, l_suppkey)::INTEGER - 1 AS item_position, l_returnflag, l_linestatus, l_partkey, l_suppkey, l_shipdate::DATE AS ship
   FROM c JOIN lineitem ON l_orderkey = context_id)
 SELECT context_id, -1 AS item_position, 'authoritative context needs approved knowledge' AS constraint FROM c
  WHERE auth AND need <> 'APPROVED' AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = context_id)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalograph.operators import keys as K
 from catalograph.operators import knowledge as G
 from catalograph.operators import report as E
-from catalograph.operators import scoring
 from checks.base import CATALOGUE_SQL, catalogue, table, values
-from checks.observed import created, obs_query, observations
+from checks.observed import created, obs_query, observations, roles
 
 QUERIES, ORACLES = {}, {}
 
@@ -247,16 +247,7 @@ def structure_match(spark, sf_dir):
 
 # ---------------------------------------------------------------- label evaluation
 def _predictions(spark, sf_dir):
-    o = observations(spark, sf_dir)
-    routed = scoring.routed(o.withColumns({"confidence_score": F.lit(1.0), "evidence_coverage": F.lit(1.0),
-                                           "contradictions": F.lit(None).cast("string")}))
-    target = F.regexp_extract("relationship_evidence", r"^Inferred relationship: \S+ -> ([^;]+)", 1)
-    return routed.select(
-        "source_table", "source_column", F.col("open_question").startswith("Resolve").alias("contradicted"),
-        F.col("proposed_business_name").alias("business_name"), F.col("ontology_concept_id").alias("ontology_concept"), "domain",
-        "privacy_class", "key_role", F.nullif(target, F.lit("")).alias("relationship_target"),
-        F.coalesce("recommended_reviewer_role", F.lit("NONE")).alias("review_route")).withColumn(
-        "naming_contradicted", F.coalesce("contradicted", F.lit(False))).drop("contradicted")
+    return E.predictions(observations(spark, sf_dir), K.relationship_candidates(roles(spark, sf_dir)))
 
 
 def _labels(spark, sf_dir):
@@ -297,7 +288,7 @@ def eval_vs_labels(spark, sf_dir):
 
 
 @query(obs_query("SELECT count(*) AS labelled_records, 1::DOUBLE AS semantic_classification_coverage, round(count_if(ontology_resolved) / count(*), 6) AS ontology_resolution_coverage, "
-                 + ", ".join(f"count_if({f}_match) AS {f}_matches, round(count_if({f}_match) / count(*), 6) AS {f}_rate" for f in E.EVALUATED) + " FROM cmp", _EVAL))
+                 + ", ".join(f"count_if({f}_match)::BIGINT AS {f}_matches, round(count_if({f}_match) / count(*), 6) AS {f}_rate" for f in E.EVALUATED) + " FROM cmp", _EVAL))
 def eval_summary(spark, sf_dir):
     """Counts and rates of all fields."""
     out = E.evaluation_summary(eval_vs_labels(spark, sf_dir))

@@ -58,7 +58,7 @@ def name_segments(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {CATALOGUE_SQL}, {_NAMES}, {HYPOTHESES_SQL} "
        "SELECT source_column, expanded, rules, CASE WHEN over THEN 'TOKEN_HYPOTHESIS_LIMIT' ELSE 'OK' END AS name_status, "
-       "row_number() OVER (PARTITION BY source_column ORDER BY path) - 1 AS position FROM hyp")
+       "row_number() OVER (PARTITION BY source_column ORDER BY path)::INTEGER - 1 AS position FROM hyp")
 def name_hypotheses(spark, sf_dir):
     """Every expansion of every catalogue name, in rule order."""
     names = spread(catalogue(spark, sf_dir).select("source_column").distinct(), "source_column")
@@ -278,7 +278,7 @@ def object_rollup(spark, sf_dir):
     return K.object_rollup(observations(spark, sf_dir))
 
 
-@query(obs_query("SELECT source_table, ordinal_position, unnest(range(0, len(evidence_references))) AS position, "
+@query(obs_query("SELECT source_table, ordinal_position, unnest(range(0, len(evidence_references)))::INTEGER AS position, "
                  "unnest(evidence_references) AS evidence_reference FROM obs"))
 def object_evidence(spark, sf_dir):
     """O1: evidence references of every table, one row each."""
