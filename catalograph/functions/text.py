@@ -32,28 +32,30 @@ def name_parts(name: Column) -> Column:
     return F.filter(F.split(break_camel(name), r"[_\-\s]+"), lambda p: p != "")
 
 
+def identifier_text(name: Column) -> Column:
+    """Lower-case tokens, cut at any non-alphanumeric run or camel boundary, blank-joined."""
+    return F.lower(F.trim(F.regexp_replace(break_camel(name), "[^A-Za-z0-9]+", " ")))
+
+
 def identifier_tokens(name: Column) -> Column:
-    """Lower-case tokens between any non-alphanumeric run or camel boundary."""
-    pieces = F.split(break_camel(name), "[^A-Za-z0-9]+")
-    return F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.lower(p))
+    """The same tokens as an array."""
+    return F.filter(F.split(identifier_text(name), " "), lambda t: t != "")
 
 
 def entity_text(table: Column) -> Column:
     """Blank-joined entity tokens of a table name, leading layer prefixes removed."""
-    joined = F.array_join(identifier_tokens(table), " ")
-    return F.regexp_replace(joined, "^(?:(?:%s)(?: |$))+" % "|".join(LAYER_PREFIXES), "")
+    return F.regexp_replace(identifier_text(table), "^(?:(?:%s)(?: |$))+" % "|".join(LAYER_PREFIXES), "")
 
 
 def identifier_signature(name: Column) -> Column:
     """Blank-joined last two tokens of an identifier-like name, else null."""
-    tokens = identifier_tokens(name)
-    count = F.size(tokens)
-    tail = F.get(tokens, count - 1)
-    return F.when(
-        (count > 0) & tail.isin(*IDENTIFIER_SUFFIXES),
-        F.when(count >= 2,
-               F.concat_ws(" ", F.get(tokens, count - 2), tail)).otherwise(tail),
-    )
+    tail = "(?:^| )((?:[a-z0-9]+ )?(?:%s))$" % "|".join(IDENTIFIER_SUFFIXES)
+    return F.nullif(F.regexp_extract(identifier_text(name), tail, 1), F.lit(""))
+
+
+def identifier_lead(name: Column) -> Column:
+    """All tokens but the last, blank-joined."""
+    return F.regexp_replace(identifier_text(name), " ?[a-z0-9]+$", "")
 
 
 def title_case(text: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions.skew import HOT_ROWS, lookup_join
-from catalograph.functions.text import entity_text, identifier_signature, identifier_tokens
+from catalograph.functions.text import entity_text, identifier_lead, identifier_signature
 from catalograph.operators.profile import quoted
 
 PRIMARY, FOREIGN, NO_KEY = "PRIMARY_KEY_CANDIDATE", "FOREIGN_KEY_CANDIDATE", "NON_KEY"
@@ -43,10 +43,8 @@ def key_roles(attributes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     column = F.col("source_column")
     entity = entity_text(F.col("source_table"))
-    tokens = identifier_tokens(column)
-    lead = F.array_join(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))), " ")
     signature = F.col("signature")
-    aligned = (lead == entity) | (
+    aligned = (identifier_lead(column) == entity) | (
         (entity != "") & (F.substring_index(signature, " ", 1) == F.substring_index(entity, " ", -1)))
     marked = attributes.withColumn("signature", identifier_signature(column))
     order = F.struct((~aligned).alias("a"), F.col("nullable").alias("n"),
@@ -90,11 +88,10 @@ def relationship_parts(roles: DataFrame, hub_targets: int = HUB_TARGETS,
         F.least("p_low", "f_low") != F.greatest("p_high", "f_high"))
     salts = F.ceil(F.col("sources") / foreign_per_salt).cast("int")
     large = F.col("targets") > hub_targets
-    # Keys that need salts, and large keys, are at most rows / foreign_per_salt
-    # and primaries / hub_targets in number; both lists are broadcast.
+    # At most rows / foreign_per_salt keys need salts, so that list is broadcast.
+    # Large keys can be more numerous; their join is left to their real size.
     salted = F.broadcast(sizes.where((salts > 1) & ~large).select("match_key", salts.alias("salts")))
-    factored = F.broadcast(sizes.where(large).select(
-        "match_key", F.col("targets").alias("hub_targets"), live.alias("live")))
+    factored = sizes.where(large).select("match_key", F.col("targets").alias("hub_targets"), live.alias("live"))
 
     def spread(frame: DataFrame, salt: Column) -> DataFrame:
         return (frame.join(factored, "match_key", "left_anti").join(salted, "match_key", "left")

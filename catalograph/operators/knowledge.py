@@ -265,8 +265,8 @@ def referential_gaps(rows: DataFrame, array: str, id_column: str, targets: DataF
     return dangling_refs(refs, ["target_id"], targets, [target])
 
 
-def match_patterns(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Structure evidence of an attribute. No licensed pattern is loaded, so none is available."""
+def match_patterns(attributes: DataFrame, patterns: DataFrame | None = None) -> DataFrame:
+    """Structure evidence per attribute; without patterns it is not available for any."""
     return attributes.withColumns({
         "cots_match_strength": F.lit(None).cast("double"),
         "cots_availability": F.lit("NOT_AVAILABLE"),
@@ -275,7 +275,7 @@ def match_patterns(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def _scored(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
     """Best pattern per attribute by lower-case object and attribute name equality."""
-    rules = F.broadcast(patterns.where("pattern_type = 'ATTRIBUTE'").groupBy(
+    rules = (patterns.where("pattern_type = 'ATTRIBUTE'").groupBy(
         F.lower("source_object_pattern").alias("object_key"), F.lower("source_attribute_pattern").alias("attribute_key"))
         .agg(F.max("expected_confidence").alias("cots_match_strength")))
     return attributes.join(

@@ -118,7 +118,8 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: st
     """Resolve each distinct name to one concept, or leave it to a steward.
 
     Order: exact physical variant, ambiguous token, unique strongest match, tie,
-    fallback. ``names`` must be unique per ``column``. The hypotheses are read
+    fallback. ``names`` must be unique per ``column``; ``concepts`` come from
+    ``concept_frame``, which checks that they may be broadcast. The hypotheses are read
     three times below; ``store(frame, name)`` may write them once and return
     the written relation.
     """

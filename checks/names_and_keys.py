@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalograph.functions import text as X
 from catalograph.functions.shared import written
-from catalograph.functions.skew import spread
+from catalograph.functions.skew import lookup_join, spread
 from catalograph.operators import keys as K
 from catalograph.operators import naming, privacy, profile, scoring
 from catalograph.plans import build
@@ -29,6 +29,10 @@ def query(sql: str | None):
     return keep
 
 
+def _name_counts(attributes):
+    return attributes.groupBy("source_column").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _words(spark, sf_dir):
     """Distinct words of all documents, as column names to be read."""
     return (table(spark, sf_dir, "documents")
@@ -83,11 +87,11 @@ def name_match(spark, sf_dir):
 def privacy_classify(spark, sf_dir):
     """V1-V3: privacy class of every attribute."""
     attributes = catalogue(spark, sf_dir)
-    names = naming.name_hypotheses(
-        spread(attributes.select("source_column").distinct(), "source_column"), load_pack("naming"))
+    counts = _name_counts(attributes)
+    names = naming.name_hypotheses(spread(counts, "source_column"), load_pack("naming"))
     classes = privacy.classify_privacy(names, load_pack("privacy"))
-    return attributes.select("source_table", "source_column").join(
-        classes.select("source_column", "privacy_class", "privacy_rationale", "privacy_rule_id"), "source_column")
+    return lookup_join(attributes.select("source_table", "source_column"), classes.select(
+        "source_column", "privacy_class", "privacy_rationale", "privacy_rule_id", "n"), ["source_column"], "n", how="inner")
 
 
 _PACKS = [
@@ -146,8 +150,10 @@ def provenance_references(spark, sf_dir):
 def type_strength(spark, sf_dir):
     """Type family and its agreement with the concept type."""
     attributes = catalogue(spark, sf_dir)
-    named = naming.classify_names(attributes.select("source_column").distinct(), concepts(spark), load_pack("naming"), store=written)
-    joined = attributes.join(named.select("source_column", "ontology_concept_type"), "source_column")
+    counts = _name_counts(attributes)
+    named = naming.classify_names(counts.select("source_column"), concepts(spark), load_pack("naming"), store=written)
+    joined = lookup_join(attributes, named.select("source_column", "ontology_concept_type").join(counts, "source_column"),
+                         ["source_column"], "n", how="inner")
     pack, kind = load_pack("types"), F.col("physical_type")
     return joined.select("source_table", "source_column", "physical_type",
                          scoring.type_family(kind, pack).alias("type_family"),
