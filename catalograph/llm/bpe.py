@@ -132,6 +132,15 @@ def round_trip(documents: DataFrame, path: str, text: str = "text", ids: str = "
             .withColumns({ids: F.col(name)["ids"], decoded: F.col(name)["decoded"]}).drop(name))
 
 
+def with_ids(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``documents`` with ``token_ids``, ``n_tokens`` and whether the ids give the text back."""
+    ids, decoded = unused(documents, "token_ids"), unused(documents, "__decoded")
+    coded = round_trip(documents, path, text, ids, decoded)
+    same = F.col(decoded) == text_column(documents, text).cast("binary")
+    return coded.withColumns({unused(documents, "n_tokens"): F.size(ids).cast("long"),
+                              unused(documents, "round_trip"): same}).drop(decoded)
+
+
 def digests(coded: DataFrame) -> DataFrame:
     """doc_id, number of ids, and SHA-256 of the decimal ids and of the decoded bytes."""
     return coded.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.llm import bpe, language, quality, setsketch, sharding, tokens_orc, urls, vectors
+from catalograph.llm import bpe, language, mixing, quality, secrets, setsketch, sharding, tokens_orc, urls, vectors
 from catalograph.llm.support import new_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,16 @@ def languages(spark, sf_dir):
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+@query("op4_forest_secret_scan")
+def secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"), secrets.labelled_findings(spark))
+
+
+@query("op5_soft_membership_mixing")
+def soft_mixing(spark, sf_dir):
+    return mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op6_url_token_rules", _url_sql())
 def url_rules_query(spark, sf_dir):
     return urls.filter_pages(table(spark, sf_dir, "pages"), url_rules())

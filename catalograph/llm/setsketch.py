@@ -307,7 +307,9 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stand for their group: the smallest id of each component.
 
-    Rows that repeat a kept id are copies of it, and only one of them stays.
+    Ids decide: a row goes if a text under its id belongs to a group with a
+    smaller id. Rows that repeat a kept id stay, as do null ids.
     """
-    dropped = near_duplicates(documents).where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return (documents.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti"))
+    judged = near_duplicates(documents)
+    dropped = judged.where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    return documents.join(dropped, F.col("doc_id").cast("long") == F.col("__dropped"), "left_anti")

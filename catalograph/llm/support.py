@@ -6,12 +6,12 @@ import functools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -55,6 +55,11 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def text_column(frame: DataFrame, column: str = "text"):
     """A text as string, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
