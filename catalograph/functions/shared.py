@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local folder only where it is unset."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="catalograph-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return folder
 
 

@@ -1,15 +1,12 @@
-"""Rule rows as DataFrames whose size is checked before they may be broadcast."""
+"""Rule rows as DataFrames of known size."""
 
 from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-MAX_BROADCAST_ROWS = 200_000
-
 
 def local_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """Driver-held rows as a local relation, so the optimizer knows their size."""
@@ -17,9 +14,8 @@ def local_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame
 
 
 def rule_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """Rule rows as a DataFrame; broadcast only under ``MAX_BROADCAST_ROWS``."""
-    frame = local_frame(spark, rows, schema)
-    return F.broadcast(frame) if len(rows) <= MAX_BROADCAST_ROWS else frame
+    """Rule rows as a DataFrame; the optimizer knows their size and picks the join."""
+    return local_frame(spark, rows, schema)
 
 
 def sql_literal(value: object) -> str:

@@ -20,7 +20,7 @@ PRIMARY, FOREIGN, NO_KEY = "PRIMARY_KEY_CANDIDATE", "FOREIGN_KEY_CANDIDATE", "NO
 # Strengths by evidence, and candidate texts.
 EXACT_STRENGTH, SIGNATURE_STRENGTH, CONFLICT_STRENGTH = 0.9, 0.85, 0.55
 IDENTIFIER_STRENGTH, PLAIN_STRENGTH = 0.5, 0.4
-CONFLICT_TEXT = "Candidate columns have incompatible physical types."
+CONFLICT_TEXT = "The types of the two columns do not fit together."
 # A match key with more primary candidates than this is returned factored.
 HUB_TARGETS = 1_000
 # Foreign rows of one match key that one join task handles.
@@ -121,16 +121,16 @@ def _describe(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         "from_table", "from_column", "to_table", "to_column",
         F.lit("FOREIGN_KEY").alias("relationship_type"),
-        F.when(exact, "Runtime metadata candidate from exact identifier naming.")
-        .otherwise("Runtime metadata candidate from identifier suffix naming.").alias("evidence_description"),
+        F.when(exact, "Both columns bear the same name.")
+        .otherwise("The ends of both names agree.").alias("evidence_description"),
         F.lit(True).alias("naming_overlap"),
         F.when(exact, 1.0).otherwise(0.9).alias("naming_strength"),
         compatible.alias("type_compatible"),
         F.when(exact & compatible, EXACT_STRENGTH)
         .when((F.col("from_signature") == F.col("to_signature")) & compatible, SIGNATURE_STRENGTH)
         .otherwise(CONFLICT_STRENGTH).alias("confidence_score"),
-        F.when(compatible, "Identifier naming and physical types are compatible.")
-        .otherwise("Identifier naming matches but physical types conflict.").alias("confidence_reason"),
+        F.when(compatible, "Names and types agree.")
+        .otherwise("Names agree, types do not.").alias("confidence_reason"),
         F.when(~compatible, CONFLICT_TEXT).alias("contradictions"))
 
 
@@ -246,8 +246,8 @@ def object_rollup(attributes: DataFrame) -> DataFrame:
         F.round(F.col("mean_score").cast("decimal(20,12)"), 4).cast("double").alias("proposed_domain_confidence"),
         F.when(personal, "PERSONAL_DATA").otherwise("INTERNAL").alias("privacy_class"),
         F.col("strictest.c").alias("max_privacy_class"),
-        F.when(personal, "Object contains at least one personal-data attribute name.")
-        .otherwise("No personal-data attribute names detected.").alias("privacy_rationale"),
+        F.when(personal, "One or more column names point to personal data.")
+        .otherwise("No column name points to personal data.").alias("privacy_rationale"),
         F.when(personal, "PRIVACY_STEWARD").alias("reviewer_role"), "evidence_count")
 
 

@@ -145,7 +145,7 @@ def normalize_ontology(concepts: DataFrame, pack: dict, fingerprint: str, refere
         F.lit("1.0.0").alias("schema_version"), "relationship_id", F.col("source_id").alias("source_concept_id"),
         F.col("target_id").alias("target_concept_id"), "relationship_type",
         F.col("edge_type").alias("source_relationship_type"), "source_cardinality", "target_cardinality",
-        F.concat(F.lit("Source ontology relationship '"), "edge_type", F.lit("' from "), "source_id",
+        F.concat(F.lit("Authored edge '"), "edge_type", F.lit("' from "), "source_id",
                  F.lit(" to "), "target_id", F.lit(".")).alias("definition"),
         "lifecycle_state", _scope(pack).alias("scope"),
         _provenance(pack, fingerprint, reference, effective_from, created_at).alias("provenance"))
@@ -160,6 +160,11 @@ def _finding(df: DataFrame, subject: str | Column, text: str) -> DataFrame:
     return df.select(subject.cast("string").alias("subject"), F.lit(text).alias("finding"))
 
 
+def _fails(condition: Column) -> Column:
+    """True where the condition does not hold, a null condition included."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
 def ontology_integrity(concepts: DataFrame, declared_domains: list[str],
                        concept_types: list[str] | None = None) -> DataFrame:
     """Duplicate ids, missing targets, undeclared domains, unknown types and privacy levels."""
@@ -169,13 +174,16 @@ def ontology_integrity(concepts: DataFrame, declared_domains: list[str],
         _finding(unique_key(concepts, ["concept_id"]), "concept_id", "concept id is not unique"),
         _finding(dangling_refs(edges, ["target_id"], concepts, ["concept_id"]), "target_id",
                  "relationship target is missing"),
-        _finding(concepts.where(~F.col("domain").isin(*declared_domains)), "concept_id", "domain is not declared"),
-        _finding(edges.where(~F.col("edge_type").isin(*known)), "edge_type", "unsupported relationship type"),
+        _finding(edges.where(F.col("source_id").isNull()), "target_id", "relationship has no source concept"),
+        _finding(unique_key(edges, ["source_id", "edge_type", "target_id"]),
+                 F.concat_ws(".", "source_id", "edge_type", "target_id"), "relationship id is not unique"),
+        _finding(concepts.where(_fails(F.col("domain").isin(*declared_domains))), "concept_id", "domain is not declared"),
+        _finding(edges.where(_fails(F.col("edge_type").isin(*known))), "edge_type", "unsupported relationship type"),
         _finding(concepts.where(privacy_level(F.col("privacy_sensitivity")).isNull()), "concept_id",
                  "unsupported privacy sensitivity"),
     ]
     if concept_types is not None:
-        parts.append(_finding(concepts.where(~F.col("concept_type").isin(*concept_types)), "concept_id",
+        parts.append(_finding(concepts.where(_fails(F.col("concept_type").isin(*concept_types))), "concept_id",
                               "undeclared concept type"))
     return _union(parts)
 
@@ -206,10 +214,10 @@ def bundle_integrity(modules: DataFrame, concepts: DataFrame, vocabularies: Data
     return _union([
         _finding(identity, F.concat_ws(":", "module", "field"), "identity differs from the bundle root"),
         _finding(counted, "module", "module is empty"),
-        _finding(concepts.join(home, "module").where(F.col("domain") != F.col("declared")), "concept_id",
+        _finding(concepts.join(home, "module", "left").where(_fails(F.col("domain") == F.col("declared"))), "concept_id",
                  "concept outside the declared domain"),
         _finding(unique_key(concepts, ["concept_id"]), "concept_id", "concept id is not unique"),
-        _finding(concepts.where(~F.col("concept_type").isin(*concept_types)), "concept_id", "undeclared concept type"),
+        _finding(concepts.where(_fails(F.col("concept_type").isin(*concept_types))), "concept_id", "undeclared concept type"),
         _finding(unique_key(vocabularies, ["vocabulary_id"]), "vocabulary_id", "vocabulary id is not unique"),
         _finding(unique_key(shapes, ["shape_id"]), "shape_id", "shape id is not unique"),
         _finding(dangling_refs(used, ["concept_id"], concepts, ["concept_id"]), "concept_id",
@@ -236,15 +244,15 @@ def pattern_pack_integrity(records: DataFrame, patterns: DataFrame, exclusions:
                  "record differs from the pack"),
         _finding(array_subset(records, "evidence_references", allowed_references, "evidence_reference", ["record_id"]),
                  "record_id", "unauthorized evidence reference"),
-        _finding(records.where(~F.array_contains(refs, header["document_id"])), "record_id",
+        _finding(records.where(_fails(F.array_contains(refs, header["document_id"]))), "record_id",
                  "pack document is not cited"),
-        _finding(records.where(~F.array_contains(refs, header["authoring_source"])), "record_id",
+        _finding(records.where(_fails(F.array_contains(refs, header["authoring_source"]))), "record_id",
                  "authoring source is not cited"),
         _finding(unique_key(patterns, ["pattern_id"]), "pattern_id", "pattern id is not unique"),
         patterns.select(F.col("pattern_id").alias("subject"), F.explode(shape).alias("finding")),
-        _finding(patterns.where(marker & (F.col("lifecycle_state") != "Source extension")), "pattern_id",
+        _finding(patterns.where(marker & _fails(F.col("lifecycle_state") == "Source extension")), "pattern_id",
                  "extension marker lifecycle"),
-        _finding(dangling_refs(patterns.where(~marker), ["ontology_concept_id"], concepts, ["concept_id"]),
+        _finding(dangling_refs(patterns.where(_fails(marker)), ["ontology_concept_id"], concepts, ["concept_id"]),
                  "ontology_concept_id", "concept is not available"),
         _finding(exclusions.where(~F.equal_null("reason", F.lit(EXCLUSION_REASON))), "source_object",
                  "unsupported exclusion reason"),
@@ -273,12 +281,32 @@ def match_patterns(attributes: DataFrame, patterns: DataFrame | None = None) ->
     }) if patterns is None else _scored(attributes, patterns)
 
 
+def _like(glob: Column) -> Column:
+    """A glob (``*``, ``?``) in lower case as a LIKE pattern; its own ``%``, ``_`` and backslashes are literal."""
+    literal = F.regexp_replace(F.lower(glob), r"([%_\\])", r"\\$1")
+    return F.translate(literal, "*?", "%_")
+
+
 def _scored(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Best pattern per attribute by lower-case object and attribute name equality."""
-    rules = (patterns.where("pattern_type = 'ATTRIBUTE'").groupBy(
-        F.lower("source_object_pattern").alias("object_key"), F.lower("source_attribute_pattern").alias("attribute_key"))
-        .agg(F.max("expected_confidence").alias("cots_match_strength")))
-    return attributes.join(
-        rules, (F.lower("source_table") == F.col("object_key")) & (F.lower("source_column") == F.col("attribute_key")),
-        "left").drop("object_key", "attribute_key").withColumn(
+    """Best pattern per attribute, by lower-case object and attribute names with globs.
+
+    Globs run on distinct names: pairs of name and pattern are few where the
+    plain names join by equality, and each name keeps its best score alone.
+    """
+    rules = patterns.where("pattern_type = 'ATTRIBUTE'").select(
+        F.lower("source_object_pattern").alias("object_key"), F.lower("source_attribute_pattern").alias("attribute_key"),
+        _like(F.col("source_object_pattern")).alias("object_like"), _like(F.col("source_attribute_pattern")).alias("attribute_like"),
+        "expected_confidence")
+    wild = F.col("object_key").rlike("[*?]")
+    t = F.lower("source_table")
+    fits = F.expr("lower(source_column) LIKE attribute_like")
+    plain = attributes.join(rules.where(~wild), (t == F.col("object_key")) & fits).select(
+        "source_table", "source_column", "expected_confidence")
+    tables = attributes.select(t.alias("object_key")).distinct()
+    opened = tables.join(rules.where(wild).drop("object_key"), F.expr("object_key LIKE object_like"))
+    globbed = attributes.join(opened, (t == F.col("object_key")) & fits).select(
+        "source_table", "source_column", "expected_confidence")
+    best = plain.union(globbed).groupBy("source_table", "source_column").agg(
+        F.max("expected_confidence").alias("cots_match_strength"))
+    return attributes.join(best, ["source_table", "source_column"], "left").withColumn(
         "cots_availability", F.when(F.col("cots_match_strength").isNull(), "NOT_AVAILABLE").otherwise("AVAILABLE"))

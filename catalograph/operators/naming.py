@@ -44,8 +44,9 @@ def name_segments(names: DataFrame, pack: dict, column: str = "source_column") -
 def name_hypotheses(names: DataFrame, pack: dict, column: str = "source_column") -> DataFrame:
     """Add the naming convention and every expansion of the name, in rule order.
 
-    The last token varies fastest. Above ``max_hypotheses`` only the expansion
-    by first rules is kept and ``name_status`` says so.
+    The last token varies fastest. A name with more than ``max_hypotheses``
+    readings is not guessed: it keeps its own text as its only one, and
+    ``name_status`` says so.
     """
     segmented = name_segments(names, pack, column)
     count = F.aggregate("segments", F.lit(1.0), lambda n, s: n * F.size(s["options"]))
@@ -53,8 +54,7 @@ def name_hypotheses(names: DataFrame, pack: dict, column: str = "source_column")
     start = F.array(F.struct(F.lit("").alias("expanded"), F.lit("").alias("rules")))
 
     def extend(found: Column, segment: Column) -> Column:
-        usable = F.when(F.col("over_limit"), F.slice(segment["options"], 1, 1)).otherwise(segment["options"])
-        return F.flatten(F.transform(found, lambda h: F.transform(usable, lambda o: F.struct(
+        return F.flatten(F.transform(found, lambda h: F.transform(segment["options"], lambda o: F.struct(
             F.concat_ws(" ", F.nullif(h["expanded"], F.lit("")), o["expansion"]).alias("expanded"),
             F.concat_ws(",", F.nullif(h["rules"], F.lit("")), o["rule_id"]).alias("rules")))))
 
@@ -62,7 +62,9 @@ def name_hypotheses(names: DataFrame, pack: dict, column: str = "source_column")
         segmented.withColumn("over_limit", over)
         .withColumns({
             "naming_convention": naming_convention(F.col(column)),
-            "hypotheses": F.aggregate("segments", start, extend),
+            "hypotheses": F.when(F.col("over_limit"), F.array(F.struct(
+                F.lower(F.col(column)).alias("expanded"), F.lit("").alias("rules"))))
+            .otherwise(F.aggregate("segments", start, extend)),
             "ambiguous_tokens": F.array_sort(F.array_distinct(F.transform(
                 F.filter("segments", lambda s: F.size(s["options"]) > 1), lambda s: s["token"]))),
             "name_status": F.when(F.col("over_limit"), LIMIT_STATUS).otherwise("OK"),
@@ -100,7 +102,7 @@ def concept_matches(expansions: DataFrame, concepts: DataFrame, strengths: dict)
     words = F.array_distinct(F.filter(F.split("expanded", " "), lambda w: w != ""))
     exploded = (expansions.select("expanded").distinct()
                 .select("expanded", F.size(words).alias("words"), F.explode(words).alias("word")))
-    shared = (exploded.join(F.broadcast(concept_words(concepts)), "word")
+    shared = (exploded.join(concept_words(concepts), "word")
               .groupBy("expanded", "words", "concept_id").agg(F.count(F.lit(1)).alias("shared")))
     ratio = F.col("shared") / F.col("words")
     kind = (F.when(F.array_contains("names", F.col("expanded")), "expanded_exact")
@@ -108,7 +110,7 @@ def concept_matches(expansions: DataFrame, concepts: DataFrame, strengths: dict)
             .when(ratio > 0.5, "token_overlap"))
     strength = F.create_map(*[F.lit(v) for k in ("expanded_exact", "expanded_partial", "token_overlap")
                               for v in (k, strengths[k])])
-    return (shared.join(F.broadcast(concept_names(concepts)), "concept_id")
+    return (shared.join(concept_names(concepts), "concept_id")
             .withColumn("kind", kind).where(F.col("kind").isNotNull())
             .select("expanded", "concept_id", strength[F.col("kind")].alias("strength"), "kind"))
 
@@ -118,8 +120,8 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: st
     """Resolve each distinct name to one concept, or leave it to a steward.
 
     Order: exact physical variant, ambiguous token, unique strongest match, tie,
-    fallback. ``names`` must be unique per ``column``; ``concepts`` come from
-    ``concept_frame``, which checks that they may be broadcast. The hypotheses are read
+    fallback. ``names`` must be unique per ``column``; how ``concepts`` are joined
+    is left to their real size. The hypotheses are read
     three times below; ``store(frame, name)`` may write them once and return
     the written relation.
     """
@@ -133,10 +135,10 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: st
                 .agg(F.collect_list(F.struct("strength", "concept_id", "kind")).alias("found")))
     per_name = (exploded.join(per_text, "expanded").groupBy(column)
                 .agg(F.flatten(F.collect_list("found")).alias("found")))
-    index = F.broadcast(variant_index(concepts))
-    facts = F.broadcast(concepts.select(
+    index = variant_index(concepts)
+    facts = concepts.select(
         F.col("concept_id").alias("ontology_concept_id"), F.col("name").alias("concept_name"),
-        F.col("concept_type").alias("ontology_concept_type"), F.col("domain").alias("concept_domain")))
+        F.col("concept_type").alias("ontology_concept_type"), F.col("domain").alias("concept_domain"))
 
     joined = (hyps.join(per_name, column, "left")
               .join(index, F.lower(F.col(column)) == F.col("variant"), "left").drop("variant"))
@@ -158,7 +160,8 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: st
         "variants": F.coalesce(F.size("variant_concepts"), F.lit(0)),
     })
     outcome = (
-        F.when(F.col("variants") == 1, "variant_exact")
+        F.when(F.col("name_status") != "OK", "limit")
+        .when(F.col("variants") == 1, "variant_exact")
         .when(F.col("variants") > 1, "variant_conflict")
         .when(F.col("ambiguous"), "ambiguous_token")
         .when(F.size("tops") == 1, F.col("top_kind"))
@@ -178,31 +181,33 @@ def classify_names(names: DataFrame, concepts: DataFrame, pack: dict, column: st
     title_or_raw = F.coalesce(F.nullif(F.col("proposed"), F.lit("")), raw)
     no_rules = F.size("rule_ids") == 0
     contradictions = (
-        F.when(o == "variant_conflict", F.concat(
-            F.lit("Physical variant '"), raw, F.lit("' maps to multiple governed concepts: "),
+        F.when(o == "limit", F.concat(F.col("name_status"), F.lit(
+            f": more than {pack['max_hypotheses']} governed readings.")))
+        .when(o == "variant_conflict", F.concat(
+            F.lit("The physical name '"), raw, F.lit("' belongs to several concepts: "),
             F.array_join("variant_concepts", ", "), F.lit(".")))
         .when(o == "ambiguous_token", F.concat(
-            F.lit("Ambiguous token(s) "), F.array_join("ambiguous_tokens", ", "),
-            F.lit(" have governed expansions: "), F.array_join(F.array_sort(F.array_distinct(expanded)), ", "),
-            F.lit(". Closed ontology candidates: "),
+            F.lit("Tokens with several readings: "), F.array_join("ambiguous_tokens", ", "),
+            F.lit("; readings: "), F.array_join(F.array_sort(F.array_distinct(expanded)), ", "),
+            F.lit("; concepts to choose from: "),
             F.when(F.size("candidates") > 0, F.array_join("candidates", ", ")).otherwise("none"), F.lit(".")))
-        .when(o == "tie", F.concat(F.lit("Equal-strength ontology candidates: "),
+        .when(o == "tie", F.concat(F.lit("Concepts that match equally well: "),
                                    F.array_join("tops", ", "), F.lit(".")))
     )
     reason = (
-        F.when(is_match, F.concat(F.lit("Rule-pack match ("), o, F.lit(f") {version}")))
-        .when(o == "variant_conflict", "Multiple ontology concepts declare the same physical variant.")
-        .when(o == "ambiguous_token", "Ambiguous token expansion; closed-candidate semantic mapping "
-                                      "or steward review required.")
-        .when(o == "tie", "Equal-strength ontology matches; steward review required.")
-        .otherwise("No rule-pack match; expanded name only; steward review required.")
+        F.when(is_match, F.concat(F.lit("Matched by rules ("), o, F.lit(f") {version}")))
+        .when(o == "limit", "The name has too many governed readings to choose from; a steward decides.")
+        .when(o == "variant_conflict", "More than one concept lists this physical name.")
+        .when(o == "ambiguous_token", "A token can be read in several ways; choose a listed concept or ask a steward.")
+        .when(o == "tie", "Several concepts match equally well; a steward chooses.")
+        .otherwise("No rule matched; the spelled-out name is all there is for the steward.")
     )
     nobody = F.array().cast("array<string>")
     return resolved.select(
         column, "naming_convention", "name_status", "hypotheses", "rule_ids", "naming_outcome",
         F.when(o == "token_overlap", F.col("proposed"))
         .when(is_match, F.col("concept_name"))
-        .when(o.isin("variant_conflict", "ambiguous_token"), raw)
+        .when(o.isin("variant_conflict", "ambiguous_token", "limit"), raw)
         .when((o == "fallback") & (F.col("naming_convention") == "AS400_ABBREVIATED") & no_rules, raw)
         .otherwise(title_or_raw).alias("proposed_business_name"),
         "ontology_concept_id", "ontology_concept_type",
@@ -228,10 +233,10 @@ def resolve_packs(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """
     keys = ["capability", "source_system", "naming_convention", "as_of"]
     asked = requests.select(*keys).distinct()
-    packs = F.broadcast(registry.select(
+    packs = registry.select(
         F.col("capability").alias("pack_capability"), "pack_id", "pack_version", "priority", "effective_date",
         F.transform("source_systems", lambda s: F.lower(s)).alias("systems"),
-        F.transform("naming_conventions", lambda s: F.lower(s)).alias("conventions")))
+        F.transform("naming_conventions", lambda s: F.lower(s)).alias("conventions"))
     system, convention = F.lower("source_system"), F.lower("naming_convention")
     source_exact = F.array_contains("systems", system) & (system != "*")
     convention_exact = F.coalesce(F.array_contains("conventions", convention), F.lit(False))

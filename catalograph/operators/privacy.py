@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from catalograph.functions.small import sql_literal
 from catalograph.operators.profile import quoted
-from catalograph.sources.packs import MAX_CHAIN_RULES
 
 # Order of restriction, prohibited column names, value sentinel.
 RESTRICTION = {"INTERNAL": 0, "PERSONAL_DATA": 1, "SENSITIVE": 2, "RESTRICTED": 3}
+# A name with too many readings is held at the strictest class under this rule id.
+LIMIT_RULE = "NAME_LIMIT"
+LIMIT_RATIONALE = "The name could not be read completely, so the strictest class holds until a steward decides."
 PROHIBITED_COLUMNS = ("loss_narrative", "claim_narrative", "credentials", "connection_string")
 SENTINEL_PREFIX = "FORBIDDEN_TEST_"
 
@@ -20,11 +22,10 @@ def classify_privacy(hypothesised: DataFrame, pack: dict, column: str = "source_
 
     Exceptions, then rules, in order; the first match of a hypothesis counts,
     and of all hypotheses the most restrictive (first on ties). The rules
-    become one CASE per hypothesis, so no join or shuffle is involved.
+    become one CASE per hypothesis, so no join or shuffle is involved. A name
+    whose ``name_status`` is not OK gets the strictest class.
     """
     rules = [*pack.get("exceptions", []), *pack["rules"], pack["default"]]
-    if len(rules) > MAX_CHAIN_RULES:
-        raise ValueError(f"{len(rules)} privacy rules exceed {MAX_CHAIN_RULES}")
     subject = {"expanded": "h.expanded", "raw": f"lower(`{column}`)"}
     cases = " ".join(f"WHEN {subject[r['match_on']]} RLIKE {sql_literal(r['pattern'])} THEN {i}"
                      for i, r in enumerate(rules[:-1]))
@@ -36,10 +37,16 @@ def classify_privacy(hypothesised: DataFrame, pack: dict, column: str = "source_
     first = f"CASE {cases} ELSE {len(rules) - 1} END" if cases else "0"
     ranked = (f"transform(transform(hypotheses, (h, i) -> named_struct('o', -i, 'r', {first})), "
               f"v -> named_struct('rank', element_at({ranks}, v.r + 1), 'o', v.o, 'r', v.r))")
+    unread = F.coalesce(F.col("name_status") != "OK", F.lit(False)) if "name_status" in hypothesised.columns else F.lit(False)
+    strictest = max(RESTRICTION, key=RESTRICTION.get)
+
+    def chosen(field: str, held: str) -> Column:
+        return F.when(unread, held).otherwise(F.expr(f"element_at({literals([r[field] for r in rules])}, __rule)"))
+
     return hypothesised.withColumn("__rule", F.expr(f"array_max({ranked}).r + 1")).withColumns({
-        "privacy_class": F.expr(f"element_at({literals([r['privacy_class'] for r in rules])}, __rule)"),
-        "privacy_rationale": F.expr(f"element_at({literals([r['rationale'] for r in rules])}, __rule)"),
-        "privacy_rule_id": F.expr(f"element_at({literals([r['rule_id'] for r in rules])}, __rule)"),
+        "privacy_class": chosen("privacy_class", strictest),
+        "privacy_rationale": chosen("rationale", LIMIT_RATIONALE),
+        "privacy_rule_id": chosen("rule_id", LIMIT_RULE),
     }).drop("__rule")
 
 
@@ -66,7 +73,7 @@ def policy_violations(hits: DataFrame, run_id: str, source_system: str, created_
         "evidence_class_attempted": "PROHIBITED_NARRATIVE",
         "violation_type": "PROHIBITED_EVIDENCE",
         "action_taken": "REJECTED_BEFORE_PROFILE",
-        "sanitized_description": "Prohibited evidence rejected before inspection or retention.",
+        "sanitized_description": "Turned away unread; nothing of it was kept.",
         "routed_to": "PRIVACY_STEWARD",
     }
     return hits.select("source_table", "source_column").distinct().select(

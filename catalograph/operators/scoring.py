@@ -15,7 +15,7 @@ WEIGHTS = {"naming_strength": 0.35, "type_strength": 0.20, "relationship_strengt
            "cots_match_strength": 0.10, "standard_consistency": 0.10}
 COVERAGE_FLOOR = 0.60
 LOW_CONFIDENCE = 0.75
-RESOLVE_AMBIGUITY = "Resolve naming ambiguity using only the recorded ontology candidate set, or leave unresolved."
+RESOLVE_AMBIGUITY = "Which of the listed concepts does the name mean, if any?"
 
 
 def type_family(physical_type: Column, pack: dict, optional: bool = False) -> Column:
@@ -71,11 +71,11 @@ def confidence(frame: DataFrame, contradicted: dict[str, Column] | None = None)
     reason = F.when(
         F.col("__coverage") < COVERAGE_FLOOR,
         F.concat(F.lit("Evidence coverage "), F.format_string("%.2f", F.col("__coverage")),
-                 F.lit(f" below floor {COVERAGE_FLOOR}; forced review")),
+                 F.lit(f" is under {COVERAGE_FLOOR}; a person has to look")),
     ).otherwise(F.concat(
-        F.lit("Computed from "), available, F.lit(" available components"),
+        F.lit("Made of "), available, F.lit(" known components"),
         F.when(conflicts > 0, F.concat(F.lit("; "), conflicts.cast("string"),
-                                       F.lit(" contradicted component(s) require review"))).otherwise("")))
+                                       F.lit(" in dispute"))).otherwise("")))
     return out.withColumns({
         "confidence_score": round_exact(F.col("__score")),
         "evidence_coverage": round_exact(F.col("__coverage")),
@@ -89,11 +89,10 @@ def assumption_texts(frame: DataFrame) -> DataFrame:
     """Add ``assumptions`` and ``open_question`` for unresolved or weak rows."""
     return frame.withColumns({
         "assumptions": F.when(F.col("ontology_concept_id").isNull(),
-                              "Deterministic semantics unresolved; closed-candidate semantic "
-                              "mapping or steward validation required."),
+                              "The rules found no meaning; map it to a listed concept or ask a steward."),
         "open_question": F.when(F.col("naming_contradicted"),
                                 RESOLVE_AMBIGUITY)
-        .when(F.col("confidence_score") < LOW_CONFIDENCE, "Confirm semantic meaning with data steward."),
+        .when(F.col("confidence_score") < LOW_CONFIDENCE, "Does this meaning hold?"),
     })
 
 
@@ -105,24 +104,24 @@ def review_route(floor: float = COVERAGE_FLOOR, threshold: float = LOW_CONFIDENC
                         F.lit(role).alias("recommended_reviewer_role"), F.lit(priority).alias("review_priority"))
 
     key = F.concat(F.initcap(F.replace(F.col("key_role"), F.lit("_"), F.lit(" "))),
-                   F.lit(" requires data-architect review"))
+                   F.lit(" goes to the architect"))
     coverage = F.concat(F.lit("Evidence coverage "), F.format_string("%.2f", F.col("evidence_coverage")),
-                        F.lit(f" below floor {floor}"))
+                        F.lit(f" is under {floor}"))
     return (
         F.when(F.col("privacy_class") != "INTERNAL",
-               route("PRIVACY", "Privacy classification requires review", "PRIVACY_STEWARD", "HIGH"))
+               route("PRIVACY", "The name may concern private data", "PRIVACY_STEWARD", "HIGH"))
         .when(F.col("key_role").isin("PRIMARY_KEY_CANDIDATE", "FOREIGN_KEY_CANDIDATE"),
               route("KEY_CANDIDATE", key, "DATA_ARCHITECT", "HIGH"))
         .when(F.col("relationship_evidence").isNotNull(),
-              route("RELATIONSHIP", "Inferred relationship requires confirmation", "DATA_ARCHITECT", "MEDIUM"))
+              route("RELATIONSHIP", "A link was inferred from names", "DATA_ARCHITECT", "MEDIUM"))
         .when(F.col("contradictions").isNotNull(),
-              route("CONTRADICTION", "Conflicting evidence requires resolution", "DOMAIN_STEWARD", "HIGH"))
+              route("CONTRADICTION", "The evidence disagrees", "DOMAIN_STEWARD", "HIGH"))
         .when(F.col("ontology_concept_id").isNull(),
-              route("UNMAPPED_CONCEPT", "No approved ontology concept mapped", "DOMAIN_STEWARD", "MEDIUM"))
+              route("UNMAPPED_CONCEPT", "No concept is mapped", "DOMAIN_STEWARD", "MEDIUM"))
         .when(F.col("evidence_coverage") < floor,
               route("LOW_EVIDENCE_COVERAGE", coverage, "DOMAIN_STEWARD", "MEDIUM"))
         .when(F.col("confidence_score") < threshold,
-              route("LOW_CONFIDENCE", "Confidence below configured threshold", "DOMAIN_STEWARD", "MEDIUM"))
+              route("LOW_CONFIDENCE", "The score is under the threshold", "DOMAIN_STEWARD", "MEDIUM"))
     )
 
 

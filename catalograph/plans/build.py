@@ -109,7 +109,7 @@ def object_observations(observations: DataFrame, context: RunContext, created_at
         F.lit(None).cast("int").alias("row_count_estimate"), "proposed_domain", "proposed_domain_confidence",
         text.alias("cots_match_assessment"), text.alias("profile_summary"),
         F.lit("INFERRED").alias("observed_or_inferred"), "evidence_count",
-        F.lit("Object domain is inferred from deterministic attribute classifications.").alias("assumptions"),
+        F.lit("The domain is the one that most columns were given.").alias("assumptions"),
         text.alias("contradictions"), text.alias("open_questions"), "privacy_class", "max_privacy_class",
         "privacy_rationale", F.lit("PROPOSED").alias("approval_state"), "reviewer_role",
         text.alias("review_rationale"), created_at.alias("created_at"))
@@ -123,7 +123,7 @@ def relationship_rows(candidates: DataFrame, context: RunContext, created_at: Co
         "to_column", "relationship_type", "evidence_description", "naming_overlap", "type_compatible",
         F.lit(None).cast("double").alias("overlap_ratio"), "confidence_score", "confidence_reason",
         F.lit("INFERRED").alias("observed_or_inferred"),
-        F.lit("Referential integrity was not asserted from source values.").alias("assumptions"),
+        F.lit("Names and types only; no values were compared.").alias("assumptions"),
         "contradictions", F.lit("PROPOSED").alias("approval_state"),
         F.lit("DATA_ARCHITECT").alias("reviewer_role"), text.alias("review_rationale"), created_at.alias("created_at"))
 

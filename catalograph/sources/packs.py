@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 from importlib.resources import files
 
@@ -11,10 +12,6 @@ from pyspark.sql import functions as F
 
 from catalograph.functions.small import rule_frame, sql_literal
 
-# Rules above these counts no longer belong into literal expressions.
-MAX_TOKENS = 5_000
-MAX_CHAIN_RULES = 500
-
 
 @lru_cache(maxsize=None)
 def load_pack(name: str) -> dict:
@@ -60,9 +57,7 @@ def concept_frame(spark: SparkSession, pack: dict) -> DataFrame:
 def token_pattern(pack: dict) -> str:
     """Alternation of all tokens, longest first, for greedy segmentation."""
     tokens = sorted({r["token"].upper() for r in pack["token_rules"]}, key=lambda t: (-len(t), t))
-    if len(tokens) > MAX_TOKENS:
-        raise ValueError(f"{len(tokens)} tokens exceed {MAX_TOKENS}")
-    return "(" + "|".join(tokens) + ")"
+    return "(" + "|".join(map(re.escape, tokens)) + ")"
 
 
 def token_options(pack: dict) -> Column:

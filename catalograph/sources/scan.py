@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions.small import local_frame
@@ -64,6 +64,26 @@ def attribute_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> Da
     return local_frame(spark, rows, INVENTORY_SCHEMA)
 
 
+# Catalog spellings of types, and the names the type rules know. Others pass unchanged.
+CATALOG_TYPES = {
+    "string": "StringType()", "varchar": "StringType()", "char": "StringType()", "text": "StringType()",
+    "tinyint": "ShortType()", "smallint": "ShortType()", "int": "IntegerType()", "integer": "IntegerType()",
+    "bigint": "LongType()", "long": "LongType()", "float": "FloatType()", "real": "FloatType()",
+    "double": "DoubleType()", "decimal": "DecimalType", "numeric": "DecimalType", "date": "DateType()",
+    "timestamp": "TimestampType()", "timestamp_ntz": "TimestampNTZType()", "boolean": "BooleanType()",
+}
+
+
+def physical_type_of(data_type: Column) -> Column:
+    """``bigint``, ``STRING`` or ``decimal(10,2)`` as the type names of the rules; precision is kept."""
+    base = F.lower(F.trim(F.regexp_extract(data_type, r"^\s*([A-Za-z_]+)", 1)))
+    names = F.create_map(*[F.lit(v) for pair in CATALOG_TYPES.items() for v in pair])
+    known = F.try_element_at(names, base)
+    size = F.coalesce(F.nullif(F.replace(F.regexp_extract(data_type, r"(\([0-9, ]+\))", 1), F.lit(" "), F.lit("")), F.lit("")),
+                      F.lit("(10,0)"))
+    return F.when(known == "DecimalType", F.concat(known, size)).otherwise(F.coalesce(known, data_type))
+
+
 def inventory_from_catalog(columns: DataFrame, table: str = "table_name", column: str = "column_name",
                            ordinal: str = "ordinal_position", data_type: str = "data_type",
                            nullable: str = "is_nullable") -> DataFrame:
@@ -72,6 +92,6 @@ def inventory_from_catalog(columns: DataFrame, table: str = "table_name", column
     return columns.select(
         F.col(table).alias("source_table"), F.col(column).alias("source_column"),
         F.col(ordinal).cast("int").alias("ordinal_position"),
-        F.col(data_type).alias("physical_type"),
+        physical_type_of(F.col(data_type)).alias("physical_type"),
         F.upper(flag.cast("string")).isin("YES", "TRUE").alias("nullable"),
     )

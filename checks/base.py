@@ -8,10 +8,13 @@ private columns, and unknown codes.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.functions.shared import written
+from catalograph.functions import shared
+from catalograph.operators.privacy import LIMIT_RATIONALE, LIMIT_RULE
 from catalograph.plans.build import RunContext
 from catalograph.sources.packs import concept_frame, load_pack, token_pattern
 
@@ -65,6 +68,15 @@ def _entity(prefix, key):
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """``shared.written``; a test session inside one process gets a folder of its own if it names none."""
+    spark = frame.sparkSession
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    if unset and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catalograph-checks-"))
+    return shared.written(frame, name)
+
+
 _WRITTEN: dict[tuple, DataFrame] = {}
 
 
@@ -206,8 +218,9 @@ hyp_all AS (
         CASE WHEN rule_id IS NULL THEN rules WHEN rules = '' THEN rule_id ELSE rules || ',' || rule_id END,
         path || lpad(k::VARCHAR, 2, '0'), over
  FROM hyp_all h JOIN opt o ON o.source_column = h.source_column AND o.i = h.i + 1
- WHERE NOT over OR k = 1),
-hyp AS (SELECT * FROM hyp_all WHERE i = last)"""
+ WHERE NOT over),
+hyp AS (SELECT * FROM hyp_all WHERE i = last AND NOT over
+ UNION ALL SELECT source_column, last, last, lower(source_column), '', '', over FROM hyp_all WHERE i = 0 AND over)"""
 
 _CONCEPTS = load_pack("concepts")["concepts"]
 CONCEPTS_SQL = ",\n".join([
@@ -255,7 +268,7 @@ pre AS (
  SELECT t.*, variants, variant_id, variant_list, ambiguous, candidates, tops, n_tops, top_id, top_kind, top,
         {CONVENTION_SQL.format(c='t.source_column')} AS naming_convention,
         {TITLE_SQL.format(c='first_text')} AS proposed,
-        CASE WHEN variants = 1 THEN 'variant_exact' WHEN variants > 1 THEN 'variant_conflict'
+        CASE WHEN over THEN 'limit' WHEN variants = 1 THEN 'variant_exact' WHEN variants > 1 THEN 'variant_conflict'
              WHEN ambiguous IS NOT NULL THEN 'ambiguous_token' WHEN n_tops = 1 THEN top_kind
              WHEN n_tops > 1 THEN 'tie' ELSE 'fallback' END AS naming_outcome
  FROM texts t LEFT JOIN var USING (source_column) LEFT JOIN amb USING (source_column)
@@ -264,21 +277,22 @@ named AS (
  SELECT p.source_column, naming_convention, CASE WHEN over THEN 'TOKEN_HYPOTHESIS_LIMIT' ELSE 'OK' END AS name_status,
   array_to_string(rule_ids, ',') AS rule_ids, naming_outcome,
   CASE WHEN naming_outcome = 'token_overlap' THEN proposed WHEN c.concept_id IS NOT NULL THEN c.name
-       WHEN naming_outcome IN ('variant_conflict','ambiguous_token') THEN p.source_column
+       WHEN naming_outcome IN ('variant_conflict','ambiguous_token','limit') THEN p.source_column
        WHEN naming_outcome = 'fallback' AND naming_convention = 'AS400_ABBREVIATED' AND len(rule_ids) = 0
        THEN p.source_column ELSE coalesce(nullif(proposed, ''), p.source_column) END AS proposed_business_name,
   c.concept_id AS ontology_concept_id, c.concept_type AS ontology_concept_type, coalesce(c.domain, 'Shared') AS domain,
   CASE WHEN naming_outcome = 'variant_exact' THEN 0.95::DOUBLE WHEN c.concept_id IS NOT NULL THEN top ELSE 0.4::DOUBLE END AS naming_strength,
-  CASE WHEN c.concept_id IS NOT NULL THEN 'Rule-pack match (' || naming_outcome || ') {_VIA}'
-       WHEN naming_outcome = 'variant_conflict' THEN 'Multiple ontology concepts declare the same physical variant.'
-       WHEN naming_outcome = 'ambiguous_token' THEN 'Ambiguous token expansion; closed-candidate semantic mapping or steward review required.'
-       WHEN naming_outcome = 'tie' THEN 'Equal-strength ontology matches; steward review required.'
-       ELSE 'No rule-pack match; expanded name only; steward review required.' END AS naming_reason,
-  CASE naming_outcome
-       WHEN 'variant_conflict' THEN 'Physical variant ''' || p.source_column || ''' maps to multiple governed concepts: ' || variant_list || '.'
-       WHEN 'ambiguous_token' THEN 'Ambiguous token(s) ' || ambiguous || ' have governed expansions: ' || alternatives
-            || '. Closed ontology candidates: ' || coalesce(candidates, 'none') || '.'
-       WHEN 'tie' THEN 'Equal-strength ontology candidates: ' || tops || '.' END AS naming_contradictions,
+  CASE WHEN c.concept_id IS NOT NULL THEN 'Matched by rules (' || naming_outcome || ') {_VIA}'
+       WHEN naming_outcome = 'limit' THEN 'The name has too many governed readings to choose from; a steward decides.'
+       WHEN naming_outcome = 'variant_conflict' THEN 'More than one concept lists this physical name.'
+       WHEN naming_outcome = 'ambiguous_token' THEN 'A token can be read in several ways; choose a listed concept or ask a steward.'
+       WHEN naming_outcome = 'tie' THEN 'Several concepts match equally well; a steward chooses.'
+       ELSE 'No rule matched; the spelled-out name is all there is for the steward.' END AS naming_reason,
+  CASE naming_outcome WHEN 'limit' THEN 'TOKEN_HYPOTHESIS_LIMIT: more than 32 governed readings.'
+       WHEN 'variant_conflict' THEN 'The physical name ''' || p.source_column || ''' belongs to several concepts: ' || variant_list || '.'
+       WHEN 'ambiguous_token' THEN 'Tokens with several readings: ' || ambiguous || '; readings: ' || alternatives
+            || '; concepts to choose from: ' || coalesce(candidates, 'none') || '.'
+       WHEN 'tie' THEN 'Concepts that match equally well: ' || tops || '.' END AS naming_contradictions,
   CASE WHEN c.concept_id IS NOT NULL THEN c.concept_id WHEN naming_outcome = 'variant_conflict' THEN replace(variant_list, ', ', ',')
        WHEN naming_outcome = 'ambiguous_token' THEN coalesce(replace(candidates, ', ', ','), '')
        WHEN naming_outcome = 'tie' THEN replace(tops, ', ', ',') ELSE '' END AS semantic_candidates
@@ -295,9 +309,11 @@ PRIVACY_SQL = values("privacy_rule", "k,rule_id,privacy_class,rationale,rank", [
     (i, r["rule_id"], r["privacy_class"], r["rationale"],
      {"INTERNAL": 0, "PERSONAL_DATA": 1, "SENSITIVE": 2}[r["privacy_class"]])
     for i, r in enumerate([*_RULES, _PRIVACY["default"]])]) + f""",
-verdict AS (SELECT source_column, path, CASE {_CASE} ELSE {len(_RULES)} END AS k FROM hyp),
+verdict AS (SELECT source_column, path, over, CASE {_CASE} ELSE {len(_RULES)} END AS k FROM hyp),
 private AS (
- SELECT source_column, privacy_class, rationale AS privacy_rationale, rule_id AS privacy_rule_id
+ SELECT source_column, CASE WHEN over THEN 'RESTRICTED' ELSE privacy_class END AS privacy_class,
+  CASE WHEN over THEN {sql_text(LIMIT_RATIONALE)} ELSE rationale END AS privacy_rationale,
+  CASE WHEN over THEN {sql_text(LIMIT_RULE)} ELSE rule_id END AS privacy_rule_id
  FROM (SELECT v.*, r.*, row_number() OVER (PARTITION BY source_column ORDER BY rank DESC, path) AS pick
        FROM verdict v JOIN privacy_rule r ON r.k = v.k) WHERE pick = 1)"""
 

@@ -60,7 +60,7 @@ ctx AS (SELECT o.*, privacy_class = 'INTERNAL' AS prompt_eligible, CASE WHEN pri
   'observed_physical_metadata': {'nullable': nullable, 'ordinal_position': ordinal_position, 'physical_type': physical_type,
    'source_column': source_column, 'source_system': source_system, 'source_table': source_table}})::VARCHAR
  ELSE to_json({'evidence_references': list_sort(evidence_references),
-  'policy_reason': 'Privacy policy prohibits this observation from LLM context.', 'privacy_class': privacy_class, 'prompt_eligible': false})::VARCHAR
+  'policy_reason': 'This column may not be shown to a language model.', 'privacy_class': privacy_class, 'prompt_eligible': false})::VARCHAR
  END AS context FROM obs o LEFT JOIN grouped USING (source_table, source_column)),
 ctxf AS (SELECT *, sha256(context) AS context_fingerprint FROM ctx)"""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalograph.operators import keys as K
 from catalograph.operators import knowledge as G
 from catalograph.operators import report as E
+from catalograph.sources import scan
 from checks.base import CATALOGUE_SQL, catalogue, table, values
 from checks.observed import created, obs_query, observations, roles
 
@@ -82,7 +83,7 @@ _PRIV = ["NONE", "INDIRECT", "DIRECT", "SENSITIVE", "SECRET"]
 
 def _concepts(spark, sf_dir):
     """Parts as authored concepts, with the line items' parts as relationship targets."""
-    edges = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_suppkey").alias("p_partkey")).agg(
+    edges = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("p_partkey")).agg(
         F.array_sort(F.collect_set(F.struct(
             F.expr(f"element_at(array({','.join(repr(t) for t in _TYPES)}), cast(1 + l_orderkey % {len(_TYPES)} AS int))").alias("type"),
             F.concat(F.lit("C."), F.col("l_partkey") + F.when(F.col("l_partkey") % 97 == 0, 10_000_000).otherwise(0)).alias("target")))).alias("relationships"))
@@ -97,7 +98,7 @@ def _concepts(spark, sf_dir):
 
 
 _CONCEPTS = f"""cedge AS (SELECT DISTINCT l_suppkey AS k, ({_TYPE_LIST})[1 + l_orderkey % {len(_TYPES)}] AS t,
-  'C.' || (l_partkey + CASE WHEN l_partkey % 97 = 0 THEN 10000000 ELSE 0 END) AS target FROM lineitem WHERE l_linenumber = 1),
+  'C.' || (l_partkey + CASE WHEN l_partkey % 97 = 0 THEN 10000000 ELSE 0 END) AS target FROM lineitem),
 con AS (SELECT 'C.' || (p_partkey - CASE WHEN p_partkey % 200 = 1 THEN 1 ELSE 0 END) AS concept_id, p_partkey, p_name, p_brand, p_type AS domain,
   CASE WHEN p_size % 2 = 0 THEN 'MEASURE' WHEN p_size % 5 = 0 THEN 'SHAPE' ELSE 'CODE' END AS concept_type,
   (['NONE','INDIRECT','DIRECT','SENSITIVE','SECRET'])[1 + p_size % 5] AS sens, p_size FROM part)"""
@@ -117,6 +118,7 @@ def concept_normalize(spark, sf_dir):
 
 @query(f"""WITH {_CONCEPTS} SELECT concept_id AS subject, 'concept id is not unique' AS finding FROM con GROUP BY 1 HAVING count(*) > 1
 UNION ALL SELECT target, 'relationship target is missing' FROM cedge JOIN con ON p_partkey = k WHERE target NOT IN (SELECT concept_id FROM con) GROUP BY 1
+UNION ALL SELECT concept_id || '.' || t || '.' || target, 'relationship id is not unique' FROM cedge JOIN con ON p_partkey = k GROUP BY 1 HAVING count(*) > 1
 UNION ALL SELECT concept_id, 'domain is not declared' FROM con WHERE domain NOT IN ('PROMO','LARGE','SMALL','MEDIUM','ECONOMY')
 UNION ALL SELECT t, 'unsupported relationship type' FROM cedge JOIN con ON p_partkey = k WHERE t = 'resembles'
 UNION ALL SELECT concept_id, 'unsupported privacy sensitivity' FROM con WHERE sens = 'SECRET'
@@ -239,10 +241,36 @@ def referential_gaps(spark, sf_dir):
     return G.referential_gaps(rows, "ids", "o_orderkey", targets, "cid")
 
 
-@query(f"WITH {CATALOGUE_SQL} SELECT source_table, source_column, NULL::DOUBLE AS cots_match_strength, 'NOT_AVAILABLE' AS cots_availability FROM attrs")
+_PATTERNS = [("stg_ord*", "cust*_id", 0.9), ("stg_ord*", "c*", 0.6), ("src_cust*", "mkt_segment_cd", 0.8), ("part?", "id", 0.7),
+             ("ref_nation1", "DISPLAY_NAME", 0.5), ("staging_supp1*", "supp_*", 0.4)]
+
+
+@query(f"""WITH {CATALOGUE_SQL}, {values('pat', 'o,a,s', _PATTERNS)},
+fit AS (SELECT source_table, source_column, max(s)::DOUBLE AS s FROM attrs JOIN pat
+ ON lower(source_table) GLOB lower(o) AND lower(source_column) GLOB lower(a) GROUP BY ALL)
+SELECT source_table, source_column, s AS cots_match_strength, CASE WHEN s IS NULL THEN 'NOT_AVAILABLE' ELSE 'AVAILABLE' END AS cots_availability
+FROM attrs LEFT JOIN fit USING (source_table, source_column)""")
 def structure_match(spark, sf_dir):
-    """No pattern is loaded, so no structure evidence is available."""
-    return G.match_patterns(catalogue(spark, sf_dir), None).select("source_table", "source_column", "cots_match_strength", "cots_availability")
+    """The best authored pattern of every attribute, globs in table and column names."""
+    patterns = spark.createDataFrame([("ATTRIBUTE", *p) for p in _PATTERNS], "pattern_type string, source_object_pattern string, "
+                                     "source_attribute_pattern string, expected_confidence double")
+    return G.match_patterns(catalogue(spark, sf_dir), patterns).select(
+        "source_table", "source_column", "cots_match_strength", "cots_availability")
+
+
+_SPELLED = {"LongType()": "bigint", "StringType()": "STRING", "IntegerType()": "int", "DoubleType()": "Double", "DateType()": "date",
+            "TimestampType()": "TIMESTAMP", "BooleanType()": "boolean", "DecimalType(12,2)": "decimal(12, 2)",
+            "TimestampNTZType()": "timestamp_ntz"}
+
+
+@query(f"WITH {CATALOGUE_SQL} SELECT source_table, source_column, ordinal_position, physical_type, nullable FROM attrs")
+def catalog_inventory(spark, sf_dir):
+    """A4: a catalog's own spellings of types, read back as the names that type rules know."""
+    spelled = F.create_map(*[F.lit(v) for pair in _SPELLED.items() for v in pair])
+    rows = catalogue(spark, sf_dir).select(
+        F.col("source_table").alias("table_name"), F.col("source_column").alias("column_name"), "ordinal_position",
+        F.element_at(spelled, F.col("physical_type")).alias("data_type"), F.when(F.col("nullable"), "YES").otherwise("NO").alias("is_nullable"))
+    return scan.inventory_from_catalog(rows)
 
 
 # ---------------------------------------------------------------- label evaluation

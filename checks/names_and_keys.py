@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalograph.functions import text as X
-from catalograph.functions.shared import written
+
 from catalograph.functions.skew import lookup_join, spread
 from catalograph.operators import keys as K
-from catalograph.operators import naming, privacy, profile, scoring
+from catalograph.operators import documentation, naming, privacy, profile, scoring
 from catalograph.plans import build
 from catalograph.sources.packs import load_pack, pack_registry
 from checks.base import (CATALOGUE_SQL, CONVENTION_SQL, HYPOTHESES_SQL, NAMED_SQL, PARTS_SQL, PRIVACY_SQL, RUN,
-                         catalogue, concepts, table, values)
+                         catalogue, concepts, table, values, written)
 from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, obs_query, observations,
                              observations_plan, roles)
 
@@ -94,6 +94,18 @@ def privacy_classify(spark, sf_dir):
         "source_column", "privacy_class", "privacy_rationale", "privacy_rule_id", "n"), ["source_column"], "n", how="inner")
 
 
+@query(f"WITH RECURSIVE {CATALOGUE_SQL}, names AS (SELECT DISTINCT 'EXP_EXP_EXP_EXP_' || source_column AS source_column FROM attrs), "
+       f"{HYPOTHESES_SQL}, {NAMED_SQL}, {PRIVACY_SQL} SELECT source_column, name_status, ontology_concept_id, privacy_class, "
+       "privacy_rule_id, false AS prompt_eligible FROM named JOIN private USING (source_column)")
+def name_limit(spark, sf_dir):
+    """A name with too many readings is not guessed, and no prompt may see it."""
+    names = catalogue(spark, sf_dir).select(F.concat(F.lit("EXP_EXP_EXP_EXP_"), "source_column").alias("source_column")).distinct()
+    named = naming.classify_names(names, concepts(spark), load_pack("naming"), store=written)
+    return privacy.classify_privacy(named, load_pack("privacy")).select(
+        "source_column", "name_status", "ontology_concept_id", "privacy_class", "privacy_rule_id",
+        documentation.prompt_eligible(F.col("privacy_class")).alias("prompt_eligible"))
+
+
 _PACKS = [
     ("naming", "base_naming", "1.0.0", ["*"], ["*"], 0, "2024-01-01"),
     ("naming", "camel_naming", "1.2.0", ["*"], ["camelCase"], 0, "2024-01-10"),
@@ -188,11 +200,11 @@ def single_key_roles(spark, sf_dir):
 @query(f"""WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT from_table, from_column, to_table, to_column,
 'FOREIGN_KEY' AS relationship_type, true AS naming_overlap, type_compatible, confidence_score,
 CASE WHEN exact THEN 1::DOUBLE ELSE 0.9::DOUBLE END AS naming_strength,
-CASE WHEN exact THEN 'Runtime metadata candidate from exact identifier naming.'
-  ELSE 'Runtime metadata candidate from identifier suffix naming.' END AS evidence_description,
-CASE WHEN type_compatible THEN 'Identifier naming and physical types are compatible.'
-  ELSE 'Identifier naming matches but physical types conflict.' END AS confidence_reason,
-CASE WHEN NOT type_compatible THEN 'Candidate columns have incompatible physical types.' END AS contradictions FROM pairs""")
+CASE WHEN exact THEN 'Both columns bear the same name.'
+  ELSE 'The ends of both names agree.' END AS evidence_description,
+CASE WHEN type_compatible THEN 'Names and types agree.'
+  ELSE 'Names agree, types do not.' END AS confidence_reason,
+CASE WHEN NOT type_compatible THEN 'The types of the two columns do not fit together.' END AS contradictions FROM pairs""")
 def relationship_candidates(spark, sf_dir):
     """K5: foreign x primary pairs of bounded match keys."""
     return K.relationship_candidates(roles(spark, sf_dir))
@@ -214,7 +226,7 @@ def relationship_evidence(spark, sf_dir):
 
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT r.source_table, r.source_column, "
        "coalesce(candidate_strength, CASE WHEN signature IS NOT NULL THEN 0.5::DOUBLE ELSE 0.4::DOUBLE END) AS relationship_strength, "
-       "CASE WHEN candidate_conflict THEN 'Candidate columns have incompatible physical types.' END AS relationship_contradictions "
+       "CASE WHEN candidate_conflict THEN 'The types of the two columns do not fit together.' END AS relationship_contradictions "
        "FROM roles r LEFT JOIN strengths USING (source_table, source_column)")
 def relationship_strengths(spark, sf_dir):
     """K7, K8: relationship strength and contradiction of every attribute, from counts alone."""
@@ -247,14 +259,14 @@ def dictionary_projection(spark, sf_dir):
     return project(observations(spark, sf_dir)).select("source_table", "source_column", *PROJECTED_STRENGTHS)
 
 
-ROUTE_SQL = """CASE WHEN privacy_class <> 'INTERNAL' THEN {'t':'PRIVACY','r':'Privacy classification requires review','o':'PRIVACY_STEWARD','p':'HIGH'}
- WHEN key_role = 'PRIMARY_KEY_CANDIDATE' THEN {'t':'KEY_CANDIDATE','r':'Primary Key Candidate requires data-architect review','o':'DATA_ARCHITECT','p':'HIGH'}
- WHEN key_role = 'FOREIGN_KEY_CANDIDATE' THEN {'t':'KEY_CANDIDATE','r':'Foreign Key Candidate requires data-architect review','o':'DATA_ARCHITECT','p':'HIGH'}
- WHEN relationship_evidence IS NOT NULL THEN {'t':'RELATIONSHIP','r':'Inferred relationship requires confirmation','o':'DATA_ARCHITECT','p':'MEDIUM'}
- WHEN contradictions IS NOT NULL THEN {'t':'CONTRADICTION','r':'Conflicting evidence requires resolution','o':'DOMAIN_STEWARD','p':'HIGH'}
- WHEN ontology_concept_id IS NULL THEN {'t':'UNMAPPED_CONCEPT','r':'No approved ontology concept mapped','o':'DOMAIN_STEWARD','p':'MEDIUM'}
- WHEN evidence_coverage < 0.6 THEN {'t':'LOW_EVIDENCE_COVERAGE','r':'Evidence coverage ' || printf('%.2f', evidence_coverage) || ' below floor 0.6','o':'DOMAIN_STEWARD','p':'MEDIUM'}
- WHEN confidence_score < 0.75 THEN {'t':'LOW_CONFIDENCE','r':'Confidence below configured threshold','o':'DOMAIN_STEWARD','p':'MEDIUM'} END"""
+ROUTE_SQL = """CASE WHEN privacy_class <> 'INTERNAL' THEN {'t':'PRIVACY','r':'The name may concern private data','o':'PRIVACY_STEWARD','p':'HIGH'}
+ WHEN key_role = 'PRIMARY_KEY_CANDIDATE' THEN {'t':'KEY_CANDIDATE','r':'Primary Key Candidate goes to the architect','o':'DATA_ARCHITECT','p':'HIGH'}
+ WHEN key_role = 'FOREIGN_KEY_CANDIDATE' THEN {'t':'KEY_CANDIDATE','r':'Foreign Key Candidate goes to the architect','o':'DATA_ARCHITECT','p':'HIGH'}
+ WHEN relationship_evidence IS NOT NULL THEN {'t':'RELATIONSHIP','r':'A link was inferred from names','o':'DATA_ARCHITECT','p':'MEDIUM'}
+ WHEN contradictions IS NOT NULL THEN {'t':'CONTRADICTION','r':'The evidence disagrees','o':'DOMAIN_STEWARD','p':'HIGH'}
+ WHEN ontology_concept_id IS NULL THEN {'t':'UNMAPPED_CONCEPT','r':'No concept is mapped','o':'DOMAIN_STEWARD','p':'MEDIUM'}
+ WHEN evidence_coverage < 0.6 THEN {'t':'LOW_EVIDENCE_COVERAGE','r':'Evidence coverage ' || printf('%.2f', evidence_coverage) || ' is under 0.6','o':'DOMAIN_STEWARD','p':'MEDIUM'}
+ WHEN confidence_score < 0.75 THEN {'t':'LOW_CONFIDENCE','r':'The score is under the threshold','o':'DOMAIN_STEWARD','p':'MEDIUM'} END"""
 
 
 @query(obs_query(f"SELECT source_table, source_column, w.t AS review_trigger, w.r AS review_reason, w.o AS recommended_reviewer_role, "
@@ -273,8 +285,8 @@ _RANK = "CASE privacy_class WHEN 'INTERNAL' THEN 0 WHEN 'PERSONAL_DATA' THEN 1 W
   round(CAST(avg(confidence_score) AS DECIMAL(20,12)), 4)::DOUBLE AS proposed_domain_confidence,
   CASE WHEN max({_RANK}) > 0 THEN 'PERSONAL_DATA' ELSE 'INTERNAL' END AS privacy_class,
   max_by(privacy_class, {_RANK}) AS max_privacy_class,
-  CASE WHEN max({_RANK}) > 0 THEN 'Object contains at least one personal-data attribute name.'
-   ELSE 'No personal-data attribute names detected.' END AS privacy_rationale,
+  CASE WHEN max({_RANK}) > 0 THEN 'One or more column names point to personal data.'
+   ELSE 'No column name points to personal data.' END AS privacy_rationale,
   CASE WHEN max({_RANK}) > 0 THEN 'PRIVACY_STEWARD' END AS reviewer_role,
   sum(len(evidence_references))::BIGINT AS evidence_count FROM obs GROUP BY source_table) t
  JOIN (SELECT source_table, domain, row_number() OVER (PARTITION BY source_table ORDER BY count(*) DESC, domain) AS rn

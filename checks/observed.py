@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.functions.shared import written
 from catalograph.operators import keys as K
 from catalograph.operators.scoring import WEIGHTS
 from catalograph.plans import build
 from catalograph.sources.packs import load_pack
 from checks.base import (BROKEN, CATALOGUE_SQL, CREATED, HYPOTHESES_SQL, NAMED_SQL, PRIVACY_SQL, RUN, catalogue,
-                         concepts, once, rounded)
+                         concepts, once, rounded, written)
 
 def created():
     return F.lit(CREATED).cast("timestamp_ntz")
@@ -136,15 +135,15 @@ obs AS (SELECT '1.0.0' AS schema_version, '{RUN.run_id}' AS run_id, '1.0.0' AS a
   list_concat(['catalog_metadata:main.bronze.' || source_table || '.' || source_column], rule_refs) AS evidence_references,
   {rounded('x_score')} AS confidence_score, {rounded('x_cov')} AS evidence_coverage,
   naming_reason || '; ' || CASE WHEN x_cov < 0.6::DOUBLE
-    THEN 'Evidence coverage ' || printf('%.2f', x_cov) || ' below floor 0.6; forced review'
-    ELSE 'Computed from ' || (3 - nc::INT - conflict::INT) || ' available components' ||
-      CASE WHEN nc OR conflict THEN '; ' || (nc::INT + conflict::INT) || ' contradicted component(s) require review' ELSE '' END
+    THEN 'Evidence coverage ' || printf('%.2f', x_cov) || ' is under 0.6; a person has to look'
+    ELSE 'Made of ' || (3 - nc::INT - conflict::INT) || ' known components' ||
+      CASE WHEN nc OR conflict THEN '; ' || (nc::INT + conflict::INT) || ' in dispute' ELSE '' END
     END AS confidence_reason,
   '1.0.0' AS formula_version,
-  CASE WHEN ontology_concept_id IS NULL THEN 'Deterministic semantics unresolved; closed-candidate semantic mapping or steward validation required.' END AS assumptions,
-  nullif(concat_ws('; ', naming_contradictions, CASE WHEN conflict THEN 'Candidate columns have incompatible physical types.' END), '') AS contradictions,
-  CASE WHEN nc THEN 'Resolve naming ambiguity using only the recorded ontology candidate set, or leave unresolved.'
-    WHEN {rounded('x_score')} < 0.75::DOUBLE THEN 'Confirm semantic meaning with data steward.' END AS open_question,
+  CASE WHEN ontology_concept_id IS NULL THEN 'The rules found no meaning; map it to a listed concept or ask a steward.' END AS assumptions,
+  nullif(concat_ws('; ', naming_contradictions, CASE WHEN conflict THEN 'The types of the two columns do not fit together.' END), '') AS contradictions,
+  CASE WHEN nc THEN 'Which of the listed concepts does the name mean, if any?'
+    WHEN {rounded('x_score')} < 0.75::DOUBLE THEN 'Does this meaning hold?' END AS open_question,
   privacy_class, privacy_rationale, 'PROPOSED' AS approval_state, NULL::VARCHAR AS reviewer_role,
   NULL::VARCHAR AS review_rationale, TIMESTAMP '{CREATED}' AS created_at,
   naming_strength, type_strength, relationship_strength, nc, conflict

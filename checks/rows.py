@@ -242,7 +242,7 @@ _SHAPE = "regexp_replace(regexp_replace(regexp_replace({c}, '[0-9]', '9', 'g'),
 
 
 @query(" UNION ALL ".join(
-    f"SELECT '{c}' AS source_column, count(*) AS distinct_count, string_agg(s, ',' ORDER BY s) AS profile_value, 'CONTROLLED_VALUES' AS profile_type "
+    f"SELECT '{c}' AS source_column, count(*) AS distinct_count, string_agg(s, ',' ORDER BY s) AS profile_value, 'PATTERN_SUMMARY' AS profile_type "
     f"FROM (SELECT {_SHAPE.format(c=c)} AS s, count(*) AS n FROM customer WHERE {c} IS NOT NULL GROUP BY 1) HAVING count(*) <= 20 AND min(n) >= 5"
     for c in ("c_name", "c_mktsegment")))
 def profile_pattern_summary(spark, sf_dir):
@@ -405,7 +405,7 @@ def prohibited_scan(spark, sf_dir):
 
 @query(_HITS + f""" SELECT '1.0.0' AS schema_version, '{RUN.run_id}' AS run_id, '1.0.0' AS artifact_version, 'sales' AS source_system,
  source_table, source_column, 'PROHIBITED_NARRATIVE' AS evidence_class_attempted, 'PROHIBITED_EVIDENCE' AS violation_type,
- 'REJECTED_BEFORE_PROFILE' AS action_taken, 'Prohibited evidence rejected before inspection or retention.' AS sanitized_description,
+ 'REJECTED_BEFORE_PROFILE' AS action_taken, 'Turned away unread; nothing of it was kept.' AS sanitized_description,
  'PRIVACY_STEWARD' AS routed_to FROM hits""")
 def policy_violations(spark, sf_dir):
     """V6: sanitized events of all hits."""

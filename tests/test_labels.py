@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from catalograph.functions.shared import written
+from checks.base import written
 from catalograph.operators import keys as K
 from catalograph.operators import report as E
 from catalograph.plans import build
