@@ -1,10 +1,11 @@
 """Key roles, relationship candidates and per-table roll-ups.
 
 A table's primary candidate is a minimum over its identifiers, so wide tables
-need no window. Candidates come from equi-joins on name keys. A name shared by
-very many primary candidates (a bare ``id``) is a hub: its links are returned
-factored, one row per member instead of one per pair, so the result is whole
-and its size stays linear.
+need no window. Links come from name keys. What the dictionary says about a
+foreign column (strength, conflict, number of links, first target) follows from
+counts per key, so it is linear in the columns whatever the size of a key.
+Pairs are only written out for the foreign columns that a caller asks for, and
+then completely.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ PRIMARY, FOREIGN, NO_KEY = "PRIMARY_KEY_CANDIDATE", "FOREIGN_KEY_CANDIDATE", "NO
 EXACT_STRENGTH, SIGNATURE_STRENGTH, CONFLICT_STRENGTH = 0.9, 0.85, 0.55
 IDENTIFIER_STRENGTH, PLAIN_STRENGTH = 0.5, 0.4
 CONFLICT_TEXT = "The types of the two columns do not fit together."
-# A match key with more primary candidates than this is returned factored.
-HUB_TARGETS = 1_000
 # Foreign rows of one match key that one join task handles.
 FOREIGN_PER_SALT = 1_000_000
 
@@ -67,35 +66,26 @@ def _match_keys(frame: DataFrame) -> DataFrame:
         .alias("match_key"))
 
 
-def relationship_parts(roles: DataFrame, hub_targets: int = HUB_TARGETS,
-                       foreign_per_salt: int = FOREIGN_PER_SALT) -> tuple[DataFrame, DataFrame]:
-    """(candidates, hubs): pairs of bounded match keys, and members of larger ones.
+def relationship_candidates(roles: DataFrame, columns: DataFrame | None = None,
+                            foreign_per_salt: int = FOREIGN_PER_SALT) -> DataFrame:
+    """Every foreign x primary pair of equal name or signature in different tables.
 
-    A pair joins once: through its signature, or through the equal name when
-    the signatures differ. The primary side of a key with many foreign rows is
-    replicated over salts so those rows spread over tasks.
+    ``columns`` (source_table, source_column) limits the foreign side; what it
+    names is expanded completely. A pair joins once: through its signature, or
+    through the equal name when the signatures differ. The primary side of a key
+    with many foreign rows is replicated over salts so those rows spread over tasks.
     """
-    foreign = _match_keys(roles.where(F.col("key_role") == FOREIGN))
-    primary = _match_keys(roles.where(F.col("key_role") == PRIMARY))
-    def measured(frame: DataFrame, rows: str, low: str, high: str) -> DataFrame:
-        return frame.groupBy("match_key").agg(F.count(F.lit(1)).alias(rows), F.min("signature").alias(low),
-                                              F.max("signature").alias(high))
-
-    sizes = measured(primary, "targets", "p_low", "p_high").join(
-        measured(foreign, "sources", "f_low", "f_high"), "match_key")
-    # An equal name adds pairs only where signatures differ.
-    live = F.col("match_key").startswith("S:") | (
-        F.least("p_low", "f_low") != F.greatest("p_high", "f_high"))
+    asked = roles.where(F.col("key_role") == FOREIGN)
+    if columns is not None:
+        asked = asked.join(columns.select("source_table", "source_column").distinct(), ["source_table", "source_column"], "left_semi")
+    foreign, primary = _match_keys(asked), _match_keys(roles.where(F.col("key_role") == PRIMARY))
     salts = F.ceil(F.col("sources") / foreign_per_salt).cast("int")
-    large = F.col("targets") > hub_targets
-    # At most rows / foreign_per_salt keys need salts, so that list is broadcast.
-    # Large keys can be more numerous; their join is left to their real size.
-    salted = F.broadcast(sizes.where((salts > 1) & ~large).select("match_key", salts.alias("salts")))
-    factored = sizes.where(large).select("match_key", F.col("targets").alias("hub_targets"), live.alias("live"))
+    # at most rows / foreign_per_salt keys need salts, so that list is broadcast
+    salted = F.broadcast(foreign.groupBy("match_key").agg(F.count(F.lit(1)).alias("sources"))
+                         .where(salts > 1).select("match_key", salts.alias("salts")))
 
     def spread(frame: DataFrame, salt: Column) -> DataFrame:
-        return (frame.join(factored, "match_key", "left_anti").join(salted, "match_key", "left")
-                .withColumn("salt", salt).drop("salts"))
+        return frame.join(salted, "match_key", "left").withColumn("salt", salt).drop("salts")
 
     one = F.coalesce("salts", F.lit(1))
     f = spread(foreign, F.pmod(F.xxhash64("source_table", "source_column"), one).cast("int")).select(
@@ -109,10 +99,7 @@ def relationship_parts(roles: DataFrame, hub_targets: int = HUB_TARGETS,
     pairs = f.join(p, ["match_key", "salt"]).where(
         (F.col("from_table") != F.col("to_table"))
         & (F.col("match_key").startswith("S:") | (F.col("from_signature") != F.col("to_signature"))))
-    members = (foreign.withColumn("side", F.lit("FROM")).unionByName(primary.withColumn("side", F.lit("TO")))
-               .join(factored.where("live"), "match_key").select("match_key", "side", "source_table", "source_column",
-                                               "physical_type", "hub_targets"))
-    return _describe(pairs), members
+    return _describe(pairs)
 
 
 def _describe(pairs: DataFrame) -> DataFrame:
@@ -134,31 +121,22 @@ def _describe(pairs: DataFrame) -> DataFrame:
         F.when(~compatible, CONFLICT_TEXT).alias("contradictions"))
 
 
-def relationship_candidates(roles: DataFrame, **limits: int) -> DataFrame:
-    """Every foreign x primary pair of equal name or signature in different tables (bounded keys)."""
-    return relationship_parts(roles, **limits)[0]
+def relationship_links(roles: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Per foreign column: best strength, conflict, number of links and first target, without pairs.
 
-
-def relationship_hubs(roles: DataFrame, **limits: int) -> DataFrame:
-    """Members of match keys above the hub bound.
-
-    Any FROM row links to any TO row of its key in another table; under an
-    ``N:`` key only where the signatures differ.
-    """
-    return relationship_parts(roles, **limits)[1]
-
-
-def relationship_strengths(roles: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Best candidate confidence and conflict flag per foreign column, without pairs.
-
-    Counts of primary candidates per name key and type answer whether a target
-    of each kind exists; the column's own table has one primary, whose own
-    match is subtracted. Works the same for hubs.
+    Primary candidates are counted per name key, signature and type, with the
+    two smallest of each. A foreign column adds these counts up; its own table
+    has one primary, whose own match is left out.
     """
     primary = roles.where(F.col("key_role") == PRIMARY)
-    per_type = _match_keys(primary).groupBy("match_key", "physical_type").agg(F.count(F.lit(1)).alias("n"))
-    targets = per_type.groupBy("match_key").agg(
-        F.sum("n").alias("targets"), F.collect_list(F.struct("physical_type", "n")).alias("by_type"))
+    group = ["match_key", "signature", "physical_type"]
+    members = _match_keys(primary).select(*group, F.struct(
+        F.concat_ws(".", "source_table", "source_column").alias("target"), "source_table").alias("m"))
+    first = members.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("first"))
+    second = (members.join(first, group).where("m <> first").groupBy(*group).agg(F.min("m").alias("second")))
+    # one entry for each signature and type of a key: few, whatever the number of targets
+    targets = first.join(second, group, "left").groupBy("match_key").agg(F.collect_list(F.struct(
+        "signature", "physical_type", "n", "first", "second")).alias("groups"))
     own = primary.groupBy("source_table").agg(
         F.first("signature").alias("own_signature"), F.first(F.lower("source_column")).alias("own_lower"),
         F.first("physical_type").alias("own_type"))
@@ -168,48 +146,47 @@ def relationship_strengths(roles: DataFrame, hot_rows: int = HOT_ROWS) -> DataFr
                            hot_rows=hot_rows)
     lower = F.lower("source_column")
     exploded = with_own.select(
-        "source_table", "source_column", "physical_type", "own_type",
+        "source_table", "source_column", "physical_type", "signature", "own_type", "own_signature",
         F.explode(F.array(
             F.struct(F.lit("S").alias("k"), F.concat(F.lit("S:"), F.col("signature")).alias("match_key"),
                      (F.col("signature") == F.col("own_signature")).alias("own")),
             F.struct(F.lit("N").alias("k"), F.concat(F.lit("N:"), lower).alias("match_key"),
                      (lower == F.col("own_lower")).alias("own")))).alias("m"),
-    ).select("source_table", "source_column", "physical_type", "own_type", "m.*")
+    ).select("source_table", "source_column", "physical_type", "signature", "own_type", "own_signature", "m.*")
     sources = exploded.groupBy("match_key").agg(F.count(F.lit(1)).alias("rows"))
     met = lookup_join(exploded, targets.join(sources, "match_key"), ["match_key"], "rows",
                       how="inner", hot_rows=hot_rows)
-    same = F.aggregate(F.filter("by_type", lambda t: t["physical_type"] == F.col("physical_type")),
-                       F.lit(0).cast("long"), lambda a, t: a + t["n"])
-    own_all = F.when(F.col("own"), 1).otherwise(0)
-    own_same = F.when(F.col("own") & (F.col("own_type") == F.col("physical_type")), 1).otherwise(0)
-    counted = met.withColumns({"any_targets": F.col("targets") - own_all, "typed_targets": same - own_same})
-    found = counted.where(F.col("any_targets") > 0)
+
+    def others(g: Column) -> Column:
+        is_own = F.col("own") & (g["signature"] == F.col("own_signature")) & (g["physical_type"] == F.col("own_type"))
+        target = F.when(is_own & (g["first"]["source_table"] == F.col("source_table")), g["second"]["target"])
+        return F.struct(
+            (g["n"] - F.when(is_own, 1).otherwise(0)).alias("n"), (g["physical_type"] == F.col("physical_type")).alias("typed"),
+            # an equal name adds links only where the signatures differ
+            ((F.col("k") == "S") | (g["signature"] != F.col("signature"))).alias("counts"),
+            F.coalesce(target, g["first"]["target"]).alias("target"))
+
+    live = F.filter(F.transform("groups", others), lambda g: g["n"] > 0)
+    zero = F.lit(0).cast("long")
+    counted = met.withColumn("live", live).where(F.size("live") > 0).withColumns({
+        "any_targets": F.aggregate("live", zero, lambda a, g: a + g["n"]),
+        "typed_targets": F.aggregate(F.filter("live", lambda g: g["typed"]), zero, lambda a, g: a + g["n"]),
+        "links": F.aggregate(F.filter("live", lambda g: g["counts"]), zero, lambda a, g: a + g["n"]),
+        "target": F.array_min(F.transform(F.filter("live", lambda g: g["counts"]), lambda g: g["target"]))})
     score = (F.when((F.col("k") == "N") & (F.col("typed_targets") > 0), EXACT_STRENGTH)
              .when(F.col("typed_targets") > 0, SIGNATURE_STRENGTH).otherwise(CONFLICT_STRENGTH))
-    return found.groupBy("source_table", "source_column").agg(
+    return counted.groupBy("source_table", "source_column").agg(
         F.max(score).alias("candidate_strength"),
         F.max(F.col("any_targets") > F.col("typed_targets")).alias("candidate_conflict"),
-        F.max("any_targets").alias("largest_match"))
+        F.sum("links").alias("link_count"), F.min("target").alias("first_target"))
 
 
-def relationship_evidence(candidates: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
-    """One sorted ``"; "`` text per foreign column.
-
-    Each column has at most two bounded match keys, so its list is bounded too;
-    a hub adds one line naming the key and its number of targets.
-    """
-    line = F.concat(F.lit("Inferred relationship: "), F.concat_ws(".", "from_table", "from_column"),
-                    F.lit(" -> "), F.concat_ws(".", "to_table", "to_column"))
-    lines = candidates.select(F.col("from_table").alias("source_table"),
-                              F.col("from_column").alias("source_column"), line.alias("line"))
-    if hubs is not None:
-        text = F.concat(F.lit("Inferred relationship: "), F.concat_ws(".", "source_table", "source_column"),
-                        F.lit(" -> "), F.col("hub_targets").cast("string"),
-                        F.lit(" primary candidates of "), F.substring("match_key", 3, 1 << 20))
-        lines = lines.unionByName(hubs.where(F.col("side") == "FROM")
-                                  .select("source_table", "source_column", text.alias("line")))
-    return lines.groupBy("source_table", "source_column").agg(
-        F.array_join(F.array_sort(F.collect_set("line")), "; ").alias("relationship_evidence"))
+def relationship_evidence() -> Column:
+    """The links of a foreign column as one text, from its count and first target."""
+    more = F.when(F.col("link_count") > 1, F.concat(F.lit(" and "), (F.col("link_count") - 1).cast("string"), F.lit(" more")))
+    return F.when(F.col("link_count") > 0, F.concat(
+        F.lit("Inferred relationship: "), F.concat_ws(".", "source_table", "source_column"), F.lit(" -> "),
+        F.col("first_target"), F.coalesce(more, F.lit(""))))
 
 
 def relationship_strength(signature: Column, candidate_strength: Column) -> Column:

@@ -24,15 +24,14 @@ DICTIONARY_COLUMNS = (
     "assumptions", "open_question")
 
 
-def predictions(observations: DataFrame, candidates: DataFrame) -> DataFrame:
-    """The evaluated fields per attribute; targets sorted and joined by ``|``.
+def predictions(observations: DataFrame, links: DataFrame) -> DataFrame:
+    """The evaluated fields per attribute; the target of a single link, or the first one and how many more.
 
     The route is taken as if score, coverage and contradictions raised nothing,
     so it shows privacy, key, relationship and mapping alone.
     """
-    target = F.concat_ws(".", "to_table", "to_column")
-    targets = candidates.groupBy(F.col("from_table").alias("source_table"), F.col("from_column").alias("source_column")).agg(
-        F.array_join(F.array_sort(F.collect_set(target)), "|").alias("relationship_target"))
+    more = F.when(F.col("link_count") > 1, F.concat(F.lit(" and "), (F.col("link_count") - 1).cast("string"), F.lit(" more")))
+    targets = links.select(*KEYS, F.concat(F.col("first_target"), F.coalesce(more, F.lit(""))).alias("relationship_target"))
     plain = routed(observations.withColumns({
         "naming_contradicted": F.equal_null("open_question", F.lit(RESOLVE_AMBIGUITY)),
         "confidence_score": F.lit(1.0), "evidence_coverage": F.lit(1.0), "contradictions": F.lit(None).cast("string")}))
@@ -178,7 +177,7 @@ def idempotency_key(spark, scope: list[str], versions: dict[str, str], settings:
     return spark.range(1).select(F.sha2(F.lit(text), 256).alias("idempotency_key"))
 
 
-def run_metrics(objects: DataFrame, attributes: DataFrame, relationships: DataFrame, documentation: DataFrame,
+def run_metrics(objects: DataFrame, attributes: DataFrame, links: DataFrame, documentation: DataFrame,
                 queue: DataFrame, violations: DataFrame) -> DataFrame:
     """The seven counts of a run as one row."""
     total = F.count(F.lit(1))
@@ -186,7 +185,7 @@ def run_metrics(objects: DataFrame, attributes: DataFrame, relationships: DataFr
         _one_row(objects, objects_observed=total),
         _one_row(attributes, attributes_observed=total,
                  privacy_classifications=F.count_if(F.col("privacy_class") != "INTERNAL")),
-        _one_row(relationships, relationships_inferred=total),
+        _one_row(links, relationships_inferred=F.coalesce(F.sum("link_count"), F.lit(0))),
         _one_row(documentation, documentation_recommendations=total),
         _one_row(queue, review_items_created=total),
         _one_row(violations, policy_violations=total),

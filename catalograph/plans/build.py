@@ -67,11 +67,10 @@ def attribute_observations(attributes: DataFrame, concepts: DataFrame, context:
     if roles is None:
         roles = K.key_roles(attributes, hot_rows)
         roles = store(roles, "key_roles") if store is not None else roles
-    candidates, hubs = K.relationship_parts(roles)
-    evidence = K.relationship_evidence(candidates, hubs)
-    strengths = K.relationship_strengths(roles, hot_rows)
     named = classified_names(attributes, concepts, context, store)
-    linked = roles.join(strengths, KEYS, "left").join(evidence, KEYS, "left")
+    # only identifiers have links: one join, on their rows
+    linked = (roles.join(K.relationship_links(roles, hot_rows), KEYS, "left")
+              .withColumn("relationship_evidence", K.relationship_evidence()))
     joined = lookup_join(linked, named, ["source_column"], "name_rows", hot_rows=hot_rows)
     conflict = F.coalesce("candidate_conflict", F.lit(False))
     conflict_text = F.when(conflict, K.CONFLICT_TEXT)

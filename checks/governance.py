@@ -12,7 +12,7 @@ from catalograph.operators import review as W
 from catalograph.plans import build
 from checks.base import RUN, once, sql_text, table
 from checks.names_and_keys import ROUTE_SQL
-from checks.observed import created, obs_query, observations, roles
+from checks.observed import created, links, obs_query, observations, order_links
 
 QUERIES, ORACLES = {}, {}
 KEYS = ["source_table", "source_column"]
@@ -324,7 +324,7 @@ def _objects(spark, sf_dir):
 
 def _relationships(spark, sf_dir):
     return once(spark, sf_dir, "relationships", lambda: build.relationship_rows(
-        K.relationship_candidates(roles(spark, sf_dir)), RUN, created()))
+        order_links(spark, sf_dir), RUN, created()))
 
 
 def _tables_in(spark, sf_dir):
@@ -370,14 +370,14 @@ def duplicate_attributes(spark, sf_dir):
 
 
 @query(obs_query("""SELECT (SELECT count(DISTINCT source_table) FROM obs) AS objects_observed, (SELECT count(*) FROM obs) AS attributes_observed,
- (SELECT count(*) FROM pairs) AS relationships_inferred, (SELECT count(*) FROM docs) AS documentation_recommendations,
+ (SELECT count(*) FROM scoredpairs) AS relationships_inferred, (SELECT count(*) FROM docs) AS documentation_recommendations,
  (SELECT count(*) FROM obs WHERE privacy_class <> 'INTERNAL') AS privacy_classifications, (SELECT count(*) FROM queue) AS review_items_created,
  (SELECT count(*) FROM obs WHERE lower(source_column) = 'loss_narrative') AS policy_violations""", _QUEUE))
 def run_metrics(spark, sf_dir):
     """The seven counts of the run."""
     from catalograph.operators.privacy import prohibited_columns
     o = observations(spark, sf_dir)
-    return E.run_metrics(_objects(spark, sf_dir), o, _relationships(spark, sf_dir), documentation(spark, sf_dir),
+    return E.run_metrics(_objects(spark, sf_dir), o, links(spark, sf_dir), documentation(spark, sf_dir),
                          queue(spark, sf_dir), prohibited_columns(o))
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalograph.operators import keys as K
 from catalograph.operators import knowledge as G
 from catalograph.operators import report as E
 from catalograph.sources import scan
 from checks.base import CATALOGUE_SQL, catalogue, table, values
-from checks.observed import created, obs_query, observations, roles
+from checks.observed import created, links, obs_query, observations
 
 QUERIES, ORACLES = {}, {}
 
@@ -275,7 +274,7 @@ def catalog_inventory(spark, sf_dir):
 
 # ---------------------------------------------------------------- label evaluation
 def _predictions(spark, sf_dir):
-    return E.predictions(observations(spark, sf_dir), K.relationship_candidates(roles(spark, sf_dir)))
+    return E.predictions(observations(spark, sf_dir), links(spark, sf_dir))
 
 
 def _labels(spark, sf_dir):
@@ -294,7 +293,7 @@ def _labels(spark, sf_dir):
         F.when(p <= 2, "DATA_ARCHITECT").when(p == 3, "NONE").otherwise("DOMAIN_STEWARD").alias("expected_review_route"))
 
 
-_EVAL = """pred AS (SELECT *, starts_with(coalesce(open_question, ''), 'Resolve') AS naming_contradicted, CASE WHEN privacy_class <> 'INTERNAL' THEN 'PRIVACY_STEWARD'
+_EVAL = """pred AS (SELECT *, starts_with(coalesce(open_question, ''), 'Which of') AS naming_contradicted, CASE WHEN privacy_class <> 'INTERNAL' THEN 'PRIVACY_STEWARD'
   WHEN key_role <> 'NON_KEY' OR relationship_evidence IS NOT NULL THEN 'DATA_ARCHITECT' WHEN ontology_concept_id IS NULL THEN 'DOMAIN_STEWARD' ELSE 'NONE' END AS route,
   nullif(regexp_extract(coalesce(relationship_evidence, ''), '^Inferred relationship: \\S+ -> ([^;]+)', 1), '') AS target FROM obs),
 lab AS (SELECT *, regexp_extract(lower(source_column), 'cust(\\d+)', 1) AS ck FROM attrs WHERE source_table LIKE 'stg_ord%'),

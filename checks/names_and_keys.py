@@ -13,8 +13,8 @@ from catalograph.plans import build
 from catalograph.sources.packs import load_pack, pack_registry
 from checks.base import (CATALOGUE_SQL, CONVENTION_SQL, HYPOTHESES_SQL, NAMED_SQL, PARTS_SQL, PRIVACY_SQL, RUN,
                          catalogue, concepts, table, values, written)
-from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, obs_query, observations,
-                             observations_plan, roles)
+from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, links, obs_query, observations,
+                             observations_plan, order_links, roles)
 
 QUERIES, ORACLES = {}, {}
 _NAMES = "names AS (SELECT DISTINCT source_column FROM attrs)"
@@ -204,24 +204,24 @@ CASE WHEN exact THEN 'Both columns bear the same name.'
   ELSE 'The ends of both names agree.' END AS evidence_description,
 CASE WHEN type_compatible THEN 'Names and types agree.'
   ELSE 'Names agree, types do not.' END AS confidence_reason,
-CASE WHEN NOT type_compatible THEN 'The types of the two columns do not fit together.' END AS contradictions FROM pairs""")
+CASE WHEN NOT type_compatible THEN 'The types of the two columns do not fit together.' END AS contradictions FROM scoredpairs WHERE from_table LIKE 'stg_ord%'""")
 def relationship_candidates(spark, sf_dir):
-    """K5: foreign x primary pairs of bounded match keys."""
-    return K.relationship_candidates(roles(spark, sf_dir))
+    """K5: every pair of the orders' foreign columns."""
+    return order_links(spark, sf_dir)
 
 
-@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT match_key, CASE key_role WHEN 'PRIMARY_KEY_CANDIDATE' "
-       "THEN 'TO' ELSE 'FROM' END AS side, source_table, source_column, physical_type, hub_targets "
-       "FROM mk JOIN hubkeys USING (match_key)")
-def relationship_hubs(spark, sf_dir):
-    """K5: members of match keys above the hub bound."""
-    return K.relationship_hubs(roles(spark, sf_dir))
+@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT source_table, source_column, link_count::BIGINT AS link_count, first_target, "
+       "candidate_strength, candidate_conflict FROM links JOIN strengths USING (source_table, source_column)")
+def relationship_links(spark, sf_dir):
+    """K5, K7: links of every foreign attribute, whatever the size of its key."""
+    return K.relationship_links(roles(spark, sf_dir)).where("link_count > 0")
 
 
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT * FROM evidence")
 def relationship_evidence(spark, sf_dir):
     """K6: evidence text per foreign attribute."""
-    return K.relationship_evidence(*K.relationship_parts(roles(spark, sf_dir)))
+    found = links(spark, sf_dir).select("source_table", "source_column", K.relationship_evidence().alias("relationship_evidence"))
+    return found.where("relationship_evidence IS NOT NULL")
 
 
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT r.source_table, r.source_column, "
@@ -231,7 +231,7 @@ def relationship_evidence(spark, sf_dir):
 def relationship_strengths(spark, sf_dir):
     """K7, K8: relationship strength and contradiction of every attribute, from counts alone."""
     r = roles(spark, sf_dir)
-    joined = r.join(K.relationship_strengths(r), ["source_table", "source_column"], "left")
+    joined = r.join(links(spark, sf_dir), ["source_table", "source_column"], "left")
     return joined.select(
         "source_table", "source_column",
         K.relationship_strength(F.col("signature"), F.col("candidate_strength")).alias("relationship_strength"),

@@ -29,6 +29,17 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "observations", lambda: observations_plan(spark, sf_dir))
 
 
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What counts per name key say about every foreign column, written once."""
+    return once(spark, sf_dir, "links", lambda: K.relationship_links(roles(spark, sf_dir)))
+
+
+def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of the orders' foreign columns: the set that review and quality checks ask for."""
+    asked = roles(spark, sf_dir).where("source_table LIKE 'stg_ord%'")
+    return K.relationship_candidates(roles(spark, sf_dir), asked)
+
+
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attributes with key roles, written once: every link query reads it several times."""
     return once(spark, sf_dir, "roles", lambda: K.key_roles(catalogue(spark, sf_dir)))
@@ -50,7 +61,7 @@ STRENGTH_SQL = (f"CASE WHEN ({FAMILY_SQL}) IS NULL THEN 0.55::DOUBLE WHEN {_EXPE
 
 _TOKENS = ("list_transform(list_filter(regexp_split_to_array(" + BROKEN +
            ", '[^A-Za-z0-9]+'), lambda p: p <> ''), lambda p: lower(p))")
-# attrs -> roles, mk, hubkeys, allpairs, pairs, lines
+# attrs -> roles, mk, allpairs, scoredpairs, links, evidence, strengths
 ROLES_SQL = f"""
 tokd AS (SELECT *, {_TOKENS.format(c='source_column')} AS toks,
   regexp_replace(array_to_string({_TOKENS.format(c='source_table')}, ' '),
@@ -65,29 +76,20 @@ roles AS (SELECT source_table, source_column, ordinal_position, physical_type, n
   CASE WHEN signature IS NULL THEN 'NON_KEY' WHEN rn = 1 THEN 'PRIMARY_KEY_CANDIDATE'
        ELSE 'FOREIGN_KEY_CANDIDATE' END AS key_role FROM ranked)"""
 PAIRS_SQL = """
-mk AS (SELECT *, lower(source_column) AS low, unnest(['S:' || signature, 'N:' || lower(source_column)]) AS match_key
+mk AS MATERIALIZED (SELECT *, lower(source_column) AS low, unnest(['S:' || signature, 'N:' || lower(source_column)]) AS match_key
   FROM roles WHERE key_role <> 'NON_KEY'),
-sizes AS (SELECT match_key, count(*) FILTER (key_role = 'PRIMARY_KEY_CANDIDATE') AS hub_targets,
-  count(*) FILTER (key_role = 'FOREIGN_KEY_CANDIDATE') AS sources, count(DISTINCT signature) AS sigs FROM mk GROUP BY match_key),
-hubkeys AS (SELECT match_key, hub_targets FROM sizes WHERE hub_targets > 1000 AND sources > 0
-  AND (starts_with(match_key, 'S:') OR sigs > 1)),
 allpairs AS (SELECT f.match_key, f.source_table AS from_table, f.source_column AS from_column,
   p.source_table AS to_table, p.source_column AS to_column, f.low = p.low AS exact,
   f.signature = p.signature AS same_sig, f.physical_type = p.physical_type AS type_compatible
   FROM mk f JOIN mk p USING (match_key)
   WHERE f.key_role = 'FOREIGN_KEY_CANDIDATE' AND p.key_role = 'PRIMARY_KEY_CANDIDATE'
   AND f.source_table <> p.source_table AND (starts_with(match_key, 'S:') OR f.signature <> p.signature)),
-scoredpairs AS (SELECT *, CASE WHEN exact AND type_compatible THEN 0.9::DOUBLE
+scoredpairs AS MATERIALIZED (SELECT *, CASE WHEN exact AND type_compatible THEN 0.9::DOUBLE
   WHEN same_sig AND type_compatible THEN 0.85::DOUBLE ELSE 0.55::DOUBLE END AS confidence_score FROM allpairs),
-pairs AS (SELECT * FROM scoredpairs WHERE match_key NOT IN (SELECT match_key FROM hubkeys)),
-lines AS (
-  SELECT DISTINCT from_table AS source_table, from_column AS source_column,
-    'Inferred relationship: ' || from_table || '.' || from_column || ' -> ' || to_table || '.' || to_column AS line FROM pairs
-  UNION SELECT source_table, source_column, 'Inferred relationship: ' || source_table || '.' || source_column || ' -> '
-    || hub_targets || ' primary candidates of ' || match_key[3:] FROM mk JOIN hubkeys USING (match_key)
-  WHERE key_role = 'FOREIGN_KEY_CANDIDATE'),
-evidence AS (SELECT source_table, source_column, string_agg(line, '; ' ORDER BY line) AS relationship_evidence
-  FROM lines GROUP BY ALL),
+links AS (SELECT from_table AS source_table, from_column AS source_column, count(*) AS link_count,
+  min(to_table || '.' || to_column) AS first_target FROM scoredpairs GROUP BY ALL),
+evidence AS (SELECT source_table, source_column, 'Inferred relationship: ' || source_table || '.' || source_column || ' -> ' || first_target
+  || CASE WHEN link_count > 1 THEN ' and ' || (link_count - 1) || ' more' ELSE '' END AS relationship_evidence FROM links),
 strengths AS (SELECT from_table AS source_table, from_column AS source_column, max(confidence_score) AS candidate_strength,
   bool_or(NOT type_compatible) AS candidate_conflict FROM scoredpairs GROUP BY ALL)"""
 

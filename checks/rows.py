@@ -316,10 +316,8 @@ def dq_orphans(spark, sf_dir):
  JOIN attrs t ON t.source_table = 'src_cust' || o_custkey AND t.ordinal_position = 1 WHERE f.physical_type <> t.physical_type""")
 def dq_type_conflict(spark, sf_dir):
     """Q5: links whose two columns have different types."""
-    from catalograph.operators import keys as K
-    from checks.observed import roles
-    pairs = K.relationship_candidates(roles(spark, sf_dir)).where(
-        F.col("from_table").startswith("stg_ord") & F.col("to_table").startswith("src_cust"))
+    from checks.observed import order_links
+    pairs = order_links(spark, sf_dir).where(F.col("to_table").startswith("src_cust"))
     return quality.relationship_type_mismatches(pairs, catalogue(spark, sf_dir))
 
 

@@ -55,7 +55,7 @@ def _frames(spark):
     roles = written(K.key_roles(attributes), "roles")
     observed = build.attribute_observations(attributes, concepts(spark), context, F.current_timestamp(), roles=roles,
                                             store=written)
-    return E.compare_labels(E.predictions(observed, K.relationship_candidates(roles)), labels)
+    return E.compare_labels(E.predictions(observed, K.relationship_links(roles)), labels)
 
 
 @pytest.fixture(scope="module")

@@ -86,43 +86,42 @@ def _skewed_attributes(spark):
                                        "physical_type string, nullable boolean")
 
 
-@pytest.mark.parametrize("limits", [{}, {"foreign_per_salt": 5}, {"hub_targets": 4, "foreign_per_salt": 3}])
-def test_links_equal_brute_force_in_pairs_and_hubs(spark, limits):
+@pytest.mark.parametrize("limits", [{}, {"foreign_per_salt": 5}])
+def test_pairs_equal_brute_force(spark, limits):
     rows = K.key_roles(_skewed_attributes(spark))
     expected = _brute_force(rows.collect())
-    candidates, hubs = K.relationship_parts(rows, **limits)
+    candidates = K.relationship_candidates(rows, **limits)
     found = {(r.from_table, r.from_column, r.to_table, r.to_column): r.confidence_score for r in candidates.collect()}
-    assert len(found) == candidates.count()
-    members = {}
-    for h in hubs.collect():
-        members.setdefault(h.match_key, {"FROM": [], "TO": []})[h.side].append(h)
-    by_name = {(r.source_table, r.source_column): r for r in rows.collect()}
-    for key, sides in members.items():
-        for f in sides["FROM"]:
-            for t in sides["TO"]:
-                pair = (f.source_table, f.source_column, t.source_table, t.source_column)
-                same = by_name[pair[:2]].signature == by_name[pair[2:]].signature
-                if f.source_table != t.source_table and (key.startswith("S:") or not same):
-                    assert pair not in found
-                    found[pair] = expected[pair]
-    assert found == expected
-    assert bool(members) == ("hub_targets" in limits)
-
-
-def test_strengths_from_counts_equal_brute_force(spark):
+    assert len(found) == candidates.count() and found == expected
+    asked = rows.where("source_table IN ('t1', 't3')")
+    part = {(r.from_table, r.from_column, r.to_table, r.to_column) for r in K.relationship_candidates(rows, asked, **limits).collect()}
+    assert part == {k for k in expected if k[0] in ("t1", "t3")}
+
+
+def test_links_from_counts_equal_brute_force(spark):
     rows = K.key_roles(_skewed_attributes(spark))
-    best = {}
-    for (ft, fc, _, _), score in _brute_force(rows.collect()).items():
+    best, targets = {}, {}
+    for (ft, fc, tt, tc), score in _brute_force(rows.collect()).items():
         best[(ft, fc)] = max(score, best.get((ft, fc), 0))
-    got = {(r.source_table, r.source_column): r.candidate_strength for r in K.relationship_strengths(rows, hot_rows=3).collect()}
-    assert got == best
+        targets.setdefault((ft, fc), []).append(f"{tt}.{tc}")
+    got = {(r.source_table, r.source_column): r for r in K.relationship_links(rows, hot_rows=3).collect()}
+    assert {k: r.candidate_strength for k, r in got.items()} == best
+    assert {k: (r.link_count, r.first_target) for k, r in got.items()} == {k: (len(t), min(t)) for k, t in targets.items()}
+
+
+def test_a_key_of_any_size_keeps_its_links(spark):
+    rows = K.key_roles(spark.range(1500).selectExpr(
+        "concat('p', id) source_table", "'id' source_column", "1 ordinal_position", "'LongType()' physical_type", "false nullable")
+        .union(spark.sql("SELECT 'f', 'f_id', 1, 'LongType()', false UNION ALL SELECT 'f', 'id', 2, 'LongType()', true")))
+    assert K.relationship_candidates(rows).count() == 1500
+    assert [(r.link_count, r.first_target) for r in K.relationship_links(rows).collect()] == [(1500, "p0.id")]
 
 
 @pytest.mark.parametrize("partitions", ["1", "4", "64"])
 def test_results_do_not_depend_on_partitions(spark, sf_dir, partitions):
     def run():
         r = K.key_roles(catalogue(spark, sf_dir), hot_rows=50)
-        s = K.relationship_strengths(roles(spark, sf_dir), hot_rows=50)
+        s = K.relationship_links(roles(spark, sf_dir), hot_rows=50)
         return (r.agg(F.sum(F.xxhash64("source_table", "source_column", "key_role").cast("decimal(38,0)"))).first()[0],
                 s.agg(F.sum(F.xxhash64("source_table", "source_column", "candidate_strength", "candidate_conflict")
                             .cast("decimal(38,0)"))).first()[0])
