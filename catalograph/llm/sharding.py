@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalograph.llm.support import written
+from catalograph.llm.support import let, written
 
 N_SHARDS = 16
 BITS = 4
@@ -64,18 +64,26 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
 
     steps = F.array(*[F.struct(F.lit(1 << b).alias("bit"), F.lit(i).alias("axis"))
                       for b in range(bits - 1, 0, -1) for i in range(n)])
-    turned = F.aggregate(steps, axes, turn) if bits > 1 else axes
-    gray = F.transform(turned, lambda _, k: F.aggregate(
-        F.slice(turned, F.lit(1), k + 1), F.lit(0), lambda s, x: s.bitwiseXOR(x)))
-    last = F.element_at(gray, n)
-    fix = F.aggregate(F.array(*[F.lit(1 << b) for b in range(bits - 1, 0, -1)]), F.lit(0),
-                      lambda t, b: F.when(last.bitwiseAND(b) != 0, t.bitwiseXOR(b - 1)).otherwise(t)) \
-        if bits > 1 else F.lit(0)
     places = F.array(*[F.struct(F.lit(i).alias("axis"), F.lit(b).alias("bit"))
                        for b in range(bits - 1, -1, -1) for i in range(n)])
-    return F.aggregate(places, F.lit(0).cast("long"), lambda s, p: F.shiftleft(s, 1).bitwiseOR(
-        F.call_function("shiftright", F.element_at(gray, p["axis"] + 1).bitwiseXOR(fix), p["bit"])
-        .bitwiseAND(1).cast("long")))
+    lows = F.array(*[F.lit(1 << b) for b in range(bits - 1, 0, -1)])
+
+    def gray(turned: Column) -> Column:
+        return F.transform(turned, lambda _, k: F.aggregate(
+            F.slice(turned, F.lit(1), k + 1), F.lit(0), lambda s, x: s.bitwiseXOR(x)))
+
+    def mended(coded: Column) -> Column:
+        last = F.element_at(coded, n)
+        fix = F.aggregate(lows, F.lit(0), lambda t, b: F.when(
+            last.bitwiseAND(b) != 0, t.bitwiseXOR(b - 1)).otherwise(t)) if bits > 1 else F.lit(0)
+        return let(fix, lambda f: F.transform(coded, lambda x: x.bitwiseXOR(f)))
+
+    def interleaved(axis: Column) -> Column:
+        return F.aggregate(places, F.lit(0).cast("long"), lambda s, p: F.shiftleft(s, 1).bitwiseOR(
+            F.call_function("shiftright", F.element_at(axis, p["axis"] + 1), p["bit"]).bitwiseAND(1).cast("long")))
+
+    turned = F.aggregate(steps, axes, turn) if bits > 1 else axes
+    return let(let(let(turned, gray), mended), interleaved)
 
 
 def shard_of(rank: Column, total: Column, n_shards: int) -> tuple[Column, Column]:
@@ -116,11 +124,14 @@ def hilbert_shards(documents: DataFrame, n_shards: int = N_SHARDS, bits: int = B
               .withColumn("salt", F.floor((F.col("key") / 2.0 ** 64 + 0.5) * SALTS).cast("int")))
     cell = ["size_cell", "lang_cell", "source_cell"]
     counts = salted.groupBy(*cell, "salt").agg(F.count(F.lit(1)).alias("n"))
-    placed = counts.withColumn("place", hilbert_index([F.col(c) for c in cell], bits))
-    order = Window.orderBy("place", "salt")
-    starts = placed.select(
-        *cell, "salt", "place",
-        (F.sum("n").over(order) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    # cells along the curve, then salts inside each cell: neither order is longer than its grid
+    curve = Window.orderBy("place")
+    cells = (counts.groupBy(*cell).agg(F.sum("n").alias("rows")).withColumn("place", hilbert_index([F.col(c) for c in cell], bits))
+             .select(*cell, "place", (F.sum("rows").over(curve) - F.col("rows")).alias("cells_before"),
+                     F.sum("rows").over(Window.partitionBy()).alias("total")))
+    inside = F.sum("n").over(Window.partitionBy(*cell).orderBy("salt")) - F.col("n")
+    starts = counts.withColumn("inside", inside).join(cells, cell).select(
+        *cell, "salt", "place", (F.col("cells_before") + F.col("inside")).alias("before"), "total")
     within = F.row_number().over(Window.partitionBy(*cell, "salt").orderBy("key", "doc_id")) - 1
     ranked = salted.withColumn("within", within).join(starts, [*cell, "salt"])
     shard, slot = shard_of(F.col("before") + F.col("within"), F.col("total"), n_shards)
