@@ -39,6 +39,21 @@ VOCABULARY = (
 N = len(VOCABULARY)
 
 
+def registry():
+    """(queries, their SQL, the decorator that registers a function with its SQL)."""
+    queries, oracles = {}, {}
+
+    def query(sql: str | None):
+        def keep(function):
+            queries[function.__name__] = function
+            if sql:
+                oracles[function.__name__] = sql
+            return function
+        return keep
+
+    return queries, oracles, query
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

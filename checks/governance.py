@@ -10,25 +10,16 @@ from catalograph.operators import keys as K
 from catalograph.operators import report as E
 from catalograph.operators import review as W
 from catalograph.plans import build
-from checks.base import RUN, once, sql_text, table
+from checks.base import RUN, once, sql_text, table, registry
 from checks.names_and_keys import ROUTE_SQL
 from checks.observed import created, links, obs_query, observations, order_links
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, query = registry()
 KEYS = ["source_table", "source_column"]
 ENDPOINT = "text-model"
 PROMPT = "Describe the column."
 
 
-def query(sql: str | None):
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-    return keep
-
-
 # ---------------------------------------------------------------- documentation
 def _profiles(spark, sf_dir):
     """Two evidence rows per INTERNAL attribute, values from the attribute itself."""

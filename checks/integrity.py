@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 from catalograph.operators import knowledge as G
 from catalograph.operators import report as E
 from catalograph.sources import scan
-from checks.base import CATALOGUE_SQL, catalogue, table, values
+from checks.base import CATALOGUE_SQL, catalogue, table, values, registry
 from checks.observed import created, links, obs_query, observations
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None):
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-    return keep
+QUERIES, ORACLES, query = registry()
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")

@@ -5,30 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalograph.functions import text as X
-
 from catalograph.functions.skew import lookup_join, spread
 from catalograph.operators import keys as K
 from catalograph.operators import documentation, naming, privacy, profile, scoring
 from catalograph.plans import build
 from catalograph.sources.packs import load_pack, pack_registry
 from checks.base import (CATALOGUE_SQL, CONVENTION_SQL, HYPOTHESES_SQL, NAMED_SQL, PARTS_SQL, PRIVACY_SQL, RUN,
-                         catalogue, concepts, table, values, written)
+                         catalogue, concepts, registry, table, values, written)
 from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, links, obs_query, observations,
                              observations_plan, order_links, roles)
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, query = registry()
 _NAMES = "names AS (SELECT DISTINCT source_column FROM attrs)"
 
 
-def query(sql: str | None):
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-    return keep
-
-
 def _name_counts(attributes):
     return attributes.groupBy("source_column").agg(F.count(F.lit(1)).alias("n"))
 

@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 from catalograph.operators import privacy, profile, quality
 from catalograph.plans import build
 from catalograph.sources import scan, sink
-from checks.base import CATALOGUE_SQL, RUN, catalogue, concepts, sql_text, table
+from checks.base import CATALOGUE_SQL, RUN, catalogue, concepts, sql_text, table, registry
 from checks.observed import created
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None):
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-    return keep
+QUERIES, ORACLES, query = registry()
 
 
 def _union(frames):

@@ -3,45 +3,41 @@
 import pytest
 from pyspark.sql import functions as F
 
-from checks.base import written
 from catalograph.operators import keys as K
 from catalograph.operators import report as E
 from catalograph.plans import build
-from checks.base import concepts
+from checks.base import concepts, written
 
 # Id, table, column, name, concept, domain, privacy, key role, target, route.
-P, PK, FK, NK = "INTERNAL", "PRIMARY_KEY_CANDIDATE", "FOREIGN_KEY_CANDIDATE", "NON_KEY"
-ARCH, DOM, PRIV = "DATA_ARCHITECT", "DOMAIN_STEWARD", "PRIVACY_STEWARD"
-UPD = ("Source Updated Timestamp", "Technical.SourceUpdatedTimestamp", "Shared", P, NK, None, "NONE")
 LABELS = [
-    ("L001", "bronze_policy", "policy_id", "Policy Identifier", "Policy.Identifier", "Policy", P, PK, None, ARCH),
-    ("L002", "bronze_policy", "policy_number", "Policy Number", "Policy.PolicyNumber", "Policy", P, NK, None, "NONE"),
-    ("L003", "bronze_policy", "policy_status", "Policy Status", "Policy.Status", "Policy", P, NK, None, "NONE"),
-    ("L004", "bronze_policy", "effective_date", "Policy Effective Date", "Policy.EffectiveDate", "Policy", P, NK, None, "NONE"),
-    ("L005", "bronze_policy", "expiration_date", "Policy Expiration Date", "Policy.ExpirationDate", "Policy", P, NK, None, "NONE"),
-    ("L006", "bronze_policy", "product_code", "Insurance Product Code", "Product.Code", "Shared", P, NK, None, "NONE"),
-    ("L007", "bronze_policy", "insured_party_id", "Insured Party Identifier", "Party.Identifier", "Shared", P, FK,
-     "bronze_policyholder.party_id", ARCH),
-    ("L008", "bronze_policy", "source_updated_ts", *UPD),
-    ("L009", "bronze_policyholder", "party_id", "Party Identifier", "Party.Identifier", "Shared", P, PK, None, ARCH),
-    ("L010", "bronze_policyholder", "party_type", "Party Type", "Party.Type", "Shared", P, NK, None, "NONE"),
-    ("L011", "bronze_policyholder", "display_name", "Display Name", None, "Shared", "PERSONAL_DATA", NK, None, PRIV),
-    ("L012", "bronze_policyholder", "contact_channel", "Contact Channel", None, "Shared", P, NK, None, DOM),
-    ("L013", "bronze_policyholder", "source_updated_ts", *UPD),
-    ("L014", "bronze_claim", "claim_id", "Claim Identifier", "Claim.Identifier", "Claims", P, PK, None, ARCH),
-    ("L015", "bronze_claim", "policy_id", "Policy Identifier", "Policy.Identifier", "Policy", P, FK,
-     "bronze_policy.policy_id", ARCH),
-    ("L016", "bronze_claim", "loss_date", "Loss Date", "Claim.LossDate", "Claims", P, NK, None, "NONE"),
-    ("L017", "bronze_claim", "claim_status", "Claim Status", "Claim.Status", "Claims", P, NK, None, "NONE"),
-    ("L018", "bronze_claim", "claimed_amount", "Claimed Amount", "Claim.ClaimedAmount", "Claims", P, NK, None, "NONE"),
-    ("L019", "bronze_claim", "source_updated_ts", *UPD),
-    ("L020", "POLMAST", "POLNBR", "Policy Number", "Policy.PolicyNumber", "Policy", P, NK, None, "NONE"),
-    ("L021", "CLMMAST", "CLMSTS", "Claim Status", "Claim.Status", "Claims", P, NK, None, "NONE"),
-    ("L022", "POLMAST", "EFFDT", "Policy Effective Date", "Policy.EffectiveDate", "Policy", P, NK, None, "NONE"),
-    ("L023", "policySource", "policyEffectiveDate", "Policy Effective Date", "Policy.EffectiveDate", "Policy", P, NK, None, "NONE"),
-    ("L024", "POLICY_SOURCE", "PLCY_NO", "Policy Number", "Policy.PolicyNumber", "Policy", P, NK, None, "NONE"),
-    ("L025", "CLMMAST", "EXPAMT", "EXPAMT", None, "Shared", P, NK, None, DOM),
-    ("L026", "GENERIC_SOURCE", "FLD007", "FLD007", None, "Shared", P, NK, None, DOM),
+    ("L001", "bronze_policy", "policy_id", "Policy Identifier", "Policy.Identifier", "Policy", "INTERNAL", "PRIMARY_KEY_CANDIDATE", None, "DATA_ARCHITECT"),
+    ("L002", "bronze_policy", "policy_number", "Policy Number", "Policy.PolicyNumber", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L003", "bronze_policy", "policy_status", "Policy Status", "Policy.Status", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L004", "bronze_policy", "effective_date", "Policy Effective Date", "Policy.EffectiveDate", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L005", "bronze_policy", "expiration_date", "Policy Expiration Date", "Policy.ExpirationDate", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L006", "bronze_policy", "product_code", "Insurance Product Code", "Product.Code", "Shared", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L007", "bronze_policy", "insured_party_id", "Insured Party Identifier", "Party.Identifier", "Shared", "INTERNAL", "FOREIGN_KEY_CANDIDATE",
+     "bronze_policyholder.party_id", "DATA_ARCHITECT"),
+    ("L008", "bronze_policy", "source_updated_ts", "Source Updated Timestamp", "Technical.SourceUpdatedTimestamp", "Shared", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L009", "bronze_policyholder", "party_id", "Party Identifier", "Party.Identifier", "Shared", "INTERNAL", "PRIMARY_KEY_CANDIDATE", None, "DATA_ARCHITECT"),
+    ("L010", "bronze_policyholder", "party_type", "Party Type", "Party.Type", "Shared", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L011", "bronze_policyholder", "display_name", "Display Name", None, "Shared", "PERSONAL_DATA", "NON_KEY", None, "PRIVACY_STEWARD"),
+    ("L012", "bronze_policyholder", "contact_channel", "Contact Channel", None, "Shared", "INTERNAL", "NON_KEY", None, "DOMAIN_STEWARD"),
+    ("L013", "bronze_policyholder", "source_updated_ts", "Source Updated Timestamp", "Technical.SourceUpdatedTimestamp", "Shared", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L014", "bronze_claim", "claim_id", "Claim Identifier", "Claim.Identifier", "Claims", "INTERNAL", "PRIMARY_KEY_CANDIDATE", None, "DATA_ARCHITECT"),
+    ("L015", "bronze_claim", "policy_id", "Policy Identifier", "Policy.Identifier", "Policy", "INTERNAL", "FOREIGN_KEY_CANDIDATE",
+     "bronze_policy.policy_id", "DATA_ARCHITECT"),
+    ("L016", "bronze_claim", "loss_date", "Loss Date", "Claim.LossDate", "Claims", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L017", "bronze_claim", "claim_status", "Claim Status", "Claim.Status", "Claims", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L018", "bronze_claim", "claimed_amount", "Claimed Amount", "Claim.ClaimedAmount", "Claims", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L019", "bronze_claim", "source_updated_ts", "Source Updated Timestamp", "Technical.SourceUpdatedTimestamp", "Shared", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L020", "POLMAST", "POLNBR", "Policy Number", "Policy.PolicyNumber", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L021", "CLMMAST", "CLMSTS", "Claim Status", "Claim.Status", "Claims", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L022", "POLMAST", "EFFDT", "Policy Effective Date", "Policy.EffectiveDate", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L023", "policySource", "policyEffectiveDate", "Policy Effective Date", "Policy.EffectiveDate", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L024", "POLICY_SOURCE", "PLCY_NO", "Policy Number", "Policy.PolicyNumber", "Policy", "INTERNAL", "NON_KEY", None, "NONE"),
+    ("L025", "CLMMAST", "EXPAMT", "EXPAMT", None, "Shared", "INTERNAL", "NON_KEY", None, "DOMAIN_STEWARD"),
+    ("L026", "GENERIC_SOURCE", "FLD007", "FLD007", None, "Shared", "INTERNAL", "NON_KEY", None, "DOMAIN_STEWARD"),
 ]
 
 
