@@ -10,7 +10,8 @@ from catalograph.operators.profile import quoted
 
 # Order of restriction, prohibited column names, value sentinel.
 RESTRICTION = {"INTERNAL": 0, "PERSONAL_DATA": 1, "SENSITIVE": 2, "RESTRICTED": 3}
-# A name with too many readings is held at the strictest class under this rule id.
+# A name with too many readings is held at the strictest class of the observation contract.
+LIMIT_CLASS = "SENSITIVE"
 LIMIT_RULE = "NAME_LIMIT"
 LIMIT_RATIONALE = "The name could not be read completely, so the strictest class holds until a steward decides."
 PROHIBITED_COLUMNS = ("loss_narrative", "claim_narrative", "credentials", "connection_string")
@@ -38,13 +39,12 @@ def classify_privacy(hypothesised: DataFrame, pack: dict, column: str = "source_
     ranked = (f"transform(transform(hypotheses, (h, i) -> named_struct('o', -i, 'r', {first})), "
               f"v -> named_struct('rank', element_at({ranks}, v.r + 1), 'o', v.o, 'r', v.r))")
     unread = F.coalesce(F.col("name_status") != "OK", F.lit(False)) if "name_status" in hypothesised.columns else F.lit(False)
-    strictest = max(RESTRICTION, key=RESTRICTION.get)
 
     def chosen(field: str, held: str) -> Column:
         return F.when(unread, held).otherwise(F.expr(f"element_at({literals([r[field] for r in rules])}, __rule)"))
 
     return hypothesised.withColumn("__rule", F.expr(f"array_max({ranked}).r + 1")).withColumns({
-        "privacy_class": chosen("privacy_class", strictest),
+        "privacy_class": chosen("privacy_class", LIMIT_CLASS),
         "privacy_rationale": chosen("rationale", LIMIT_RATIONALE),
         "privacy_rule_id": chosen("rule_id", LIMIT_RULE),
     }).drop("__rule")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions import shared
-from catalograph.operators.privacy import LIMIT_RATIONALE, LIMIT_RULE
+from catalograph.operators.privacy import LIMIT_CLASS, LIMIT_RATIONALE, LIMIT_RULE
 from catalograph.plans.build import RunContext
 from catalograph.sources.packs import concept_frame, load_pack, token_pattern
 
@@ -326,7 +326,7 @@ PRIVACY_SQL = values("privacy_rule", "k,rule_id,privacy_class,rationale,rank", [
     for i, r in enumerate([*_RULES, _PRIVACY["default"]])]) + f""",
 verdict AS (SELECT source_column, path, over, CASE {_CASE} ELSE {len(_RULES)} END AS k FROM hyp),
 private AS (
- SELECT source_column, CASE WHEN over THEN 'RESTRICTED' ELSE privacy_class END AS privacy_class,
+ SELECT source_column, CASE WHEN over THEN {sql_text(LIMIT_CLASS)} ELSE privacy_class END AS privacy_class,
   CASE WHEN over THEN {sql_text(LIMIT_RATIONALE)} ELSE rationale END AS privacy_rationale,
   CASE WHEN over THEN {sql_text(LIMIT_RULE)} ELSE rule_id END AS privacy_rule_id
  FROM (SELECT v.*, r.*, row_number() OVER (PARTITION BY source_column ORDER BY rank DESC, path) AS pick

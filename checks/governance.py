@@ -460,6 +460,18 @@ def contract_violations(spark, sf_dir):
     return X.violations(rows, contract, ["l_orderkey", "l_linenumber"])
 
 
+@query("SELECT NULL::VARCHAR AS source_table, 'object_observation' AS contract, c || ': column is absent' AS constraint_text "
+       "FROM (VALUES ('proposed_domain'), ('evidence_count')) v(c) UNION ALL SELECT 'src_cust' || c_custkey, 'object_observation', 'privacy_class: enum' "
+       "FROM customer")
+def object_contract(spark, sf_dir):
+    """Absent columns and broken values of object rows; whole rows keep their contract."""
+    rows = _objects(spark, sf_dir)
+    broken = rows.where("source_table LIKE 'src_cust%'").drop("proposed_domain", "evidence_count").withColumn("privacy_class", F.lit("OPEN"))
+    good = X.violations(rows, X.OBJECT_OBSERVATION, ["source_table"])
+    return (X.violations(broken, X.OBJECT_OBSERVATION, ["source_table"]).union(good)
+            .withColumnRenamed("constraint", "constraint_text"))
+
+
 @query(obs_query("SELECT source_table, source_column, 'attribute_observation' AS contract, 'never' AS constraint FROM obs WHERE false"))
 def observation_contract(spark, sf_dir):
     """The written observations keep their contract, so no row comes back."""
