@@ -7,9 +7,11 @@ similar sets into one bucket. What shares a bucket is estimated jointly from
 the registers by likelihood and confirmed on the full sets.
 
 Sets that are equal are one class with one representative. A bucket never emits
-all its pairs: members are first held against the bucket's smallest one; then
-only pairs whose components still differ are estimated, in blocks of bounded
-size, and only the likely ones become rows.
+all its pairs: members are first held against the bucket's smallest one; then a
+spanning forest of the strongest estimates joins the components that are left,
+in blocks of bounded size; at last the likely pairs whose components still
+differ are confirmed inside their blocks, so no link that joins is lost and only
+links leave a task.
 
 Null or empty texts, or texts without a word, have an empty set and link with
 nothing. A text with fewer words than a shingle is one shingle. Repeated rows
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm import textblocks as tb
-from catalograph.llm.components import components
+from catalograph.llm.components import components, forest
 from catalograph.llm.support import slices, text_column, unused, written
 
 SHINGLE = 5
@@ -58,9 +60,15 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             keys.append(whole[own])
             owner.append(rows[at][own])
     keys, owner = np.concatenate(keys), np.concatenate(owner)
-    _, one = np.unique(tb.in_row(keys, owner), return_index=True)
-    order = one[np.lexsort((keys[one], owner[one]))]
-    return keys[order], owner[order]
+    if len(keys) > 1:
+        order = np.argsort(owner, kind="stable")
+        keys, owner = keys[order], owner[order]
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(offsets) - 1))])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        keys[a:b].sort()
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    return keys[fresh], owner[fresh]
 
 
 def registers(keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -92,29 +100,31 @@ def _p(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
 
 
-def joint_jaccard(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood similarity from the counts of larger and smaller registers.
-
-    The sizes of the sets are known. The likelihood is concave in the similarity;
-    its maximum is found by narrowing the interval of possible values.
-    """
+def joint_likelihood(j: np.ndarray, above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Log-likelihood of a similarity, from the counts of larger and smaller registers and the sets' sizes."""
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
-    equal = REGISTERS - above - below
+    more, less = _p(np.maximum(u - v * j, 1e-12)), _p(np.maximum(v - u * j, 1e-12))
+    return (above * np.log(np.maximum(more, 1e-12)) + below * np.log(np.maximum(less, 1e-12))
+            + (REGISTERS - above - below) * np.log(np.maximum(1 - more - less, 1e-12)))
 
-    def likelihood(j):
-        more, less = _p(np.maximum(u - v * j, 1e-12)), _p(np.maximum(v - u * j, 1e-12))
-        return (above * np.log(np.maximum(more, 1e-12)) + below * np.log(np.maximum(less, 1e-12))
-                + equal * np.log(np.maximum(1 - more - less, 1e-12)))
 
+def joint_jaccard(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Maximum-likelihood similarity. The likelihood is concave: its maximum is found by narrowing the interval."""
+    low, high = np.zeros(len(n_a)), np.minimum(n_a / n_b, n_b / n_a)
     for _ in range(20):
         third = (high - low) / 3
         left, right = low + third, high - third
-        rising = likelihood(left) < likelihood(right)
+        rising = joint_likelihood(left, above, below, n_a, n_b) < joint_likelihood(right, above, below, n_a, n_b)
         low, high = np.where(rising, left, low), np.where(rising, high, right)
     return (low + high) / 2
 
 
+def likely(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the estimate reaches the threshold less the margin: the concave likelihood still rises there."""
+    at = PERCENT / 100 - MARGIN
+    return (joint_likelihood(at + 1e-3, above, below, n_a, n_b) >= joint_likelihood(at - 1e-3, above, below, n_a, n_b))
+
+
 def sketch_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n, set key (two 64-bit sums over the set), registers (binary) and buckets."""
 
@@ -131,7 +141,7 @@ def sketch_documents(documents: DataFrame) -> DataFrame:
                 sketch, buckets = [None] * n, [[]] * n
                 if len(filled):
                     for k in (0, 1):
-                        parts[k, filled] = np.add.reduceat(tb.mix(keys + np.uint64(k << 40)), bounds[:-1])
+                        parts[k, filled] = set_keys(keys, bounds, k)
                     held = registers(keys, bounds)
                     own = bands(held)
                     for i, row in enumerate(filled):
@@ -151,12 +161,12 @@ def _sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def estimate(sketch_a: Column, sketch_b: Column, n_a: Column, n_b: Column) -> Column:
+def are_likely(sketch_a: Column, sketch_b: Column, n_a: Column, n_b: Column) -> Column:
     def values(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
         x, y = _sketches(a), _sketches(b)
-        return pa.array(joint_jaccard((x > y).sum(1), (x < y).sum(1), c.to_numpy(), d.to_numpy()))
+        return pa.array(likely((x > y).sum(1), (x < y).sum(1), c.to_numpy(), d.to_numpy()))
 
-    return F.arrow_udf(values, "double")(sketch_a, sketch_b, n_a, n_b)
+    return F.arrow_udf(values, "boolean")(sketch_a, sketch_b, n_a, n_b)
 
 
 def _sizes_fit(n_a: Column, n_b: Column) -> Column:
@@ -167,88 +177,162 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and estimate allow a link."""
     side = lambda k: classes.select(F.col("rep").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"s_{k}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit(F.col("n_a"), F.col("n_b")))
-            .withColumn("j", estimate(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b")))
-            .where(F.col("j") >= PERCENT / 100 - MARGIN).select("a", "b"))
+            .withColumn("likely", are_likely(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b")))
+            .where("likely").select("a", "b"))
+
+
+def set_keys(keys: np.ndarray, bounds: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit sum over each non-empty set; two of them (k = 0, 1) tell sets apart."""
+    return np.add.reduceat(tb.mix(keys + np.uint64(k << 40)), bounds[:-1])
 
 
 def shingle_sets(text: Column) -> Column:
-    """``array<long>``: the full set of a text's shingles."""
+    """``struct<set, key1>``: the full set of a text's shingles and its first key (0 for an empty set)."""
 
     def sets(texts: pa.Array) -> pa.Array:
-        parts = []
+        parts, sums = [], []
         for data, offsets in slices(texts):
             keys, owner = shingles(data, offsets)
             size = np.bincount(owner, minlength=len(offsets) - 1)
+            own = np.zeros(len(size), np.uint64)
+            if len(keys):
+                own[size > 0] = set_keys(keys, np.concatenate([[0], np.cumsum(size[size > 0])]), 0)
             parts.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
                                                   pa.array(keys.astype(np.int64))))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+            sums.append(pa.array(own.astype(np.int64)))
+        return pa.StructArray.from_arrays([
+            pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64())),
+            pa.concat_arrays(sums) if sums else pa.array([], pa.int64())], ["set", "key1"])
 
-    return F.arrow_udf(sets, "array<long>")(text)
+    return F.arrow_udf(sets, "struct<set:array<long>,key1:long>")(text)
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity.
+def class_sets(reps: DataFrame, documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """rep and full set of the asked classes; only texts that stand for one are read into sets.
 
-    ``ids``: rep and doc_id of each class; only texts that stand in a pair are read into sets.
+    ``ids``: rep, doc_id and first key of each class.
     """
-    pairs = written(pairs, "candidates")
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = needed.join(ids, "rep")
+    wanted = reps.select("rep").distinct().join(ids, "rep")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(documents).alias("text"))
-    # equal sets can come from different rows of one id: one of them stands for the class
-    sets = (texts.join(wanted, "doc_id").select("rep", "key1", "key2", shingle_sets(F.col("text")).alias("set"))
-            .where(F.expr("size(set) > 0")))
-    sets = written(sets, "sets")
+    # no filter on the set stands before the write: it would move the sets in front of the join
+    sets = written(texts.join(wanted, "doc_id").select("rep", "key1", shingle_sets(F.col("text")).alias("own")), "sets")
+    # an id can have several texts: the one with the class's set stands for it, once
+    return sets.where("key1 = own.key1").select("rep", F.col("own.set").alias("set")).dropDuplicates(["rep"])
+
+
+def confirmed(pairs: DataFrame, documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
+    pairs = written(pairs, "candidates")
+    sets = class_sets(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))), documents, ids)
     side = lambda k: sets.select(F.col("rep").alias(k), F.col("set").alias(f"set_{k}"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
             .where(100 * both >= PERCENT * (F.size("set_a") + F.size("set_b") - both)).select("a", "b").distinct())
 
 
-def _block_pairs(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs between different components inside each run of equal ``key``.
-
-    Rows come sorted by key; a run holds two blocks at most.
+def _likely_in(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, equal registers) of the likely pairs of different components among a run's one or two blocks."""
+    root, n = rows.column("root").to_numpy(), rows.column("n").to_numpy()
+    side, sketch = rows.column("side").to_numpy(), _sketches(rows.column("sketch"))
+    x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    same, found = not len(y), ([], [], [])
+    for i in x:
+        other = x[x > i] if same else y
+        other = other[(root[other] != root[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
+        if len(other):
+            a, b = sketch[i][None, :], sketch[other]
+            above, below = (a > b).sum(1), (a < b).sum(1)
+            fit = likely(above, below, np.full(len(other), n[i]), n[other])
+            for column, value in zip(found, (np.full(fit.sum(), i), other[fit], (REGISTERS - above - below)[fit])):
+                column.append(value)
+    return tuple(np.concatenate(c) if c else np.zeros(0, np.int64) for c in found)
+
+
+def _strongest(i: np.ndarray, j: np.ndarray, equal: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Which pairs form a spanning forest of the components, most equal registers first."""
+    _, label = np.unique(root, return_inverse=True)
+    chosen = np.zeros(len(i), bool)
+    while True:
+        a, b = label[i], label[j]
+        open_ = np.flatnonzero(a != b)
+        if not len(open_):
+            return chosen
+        order = open_[np.argsort(-equal[open_], kind="stable")]
+        # the first pair of each component in this order is its strongest
+        ends = np.stack([a[order], b[order]], 1).ravel()
+        _, first = np.unique(ends, return_index=True)
+        best = first // 2
+        picked = order[np.unique(best)]
+        chosen[picked] = True
+        away, to = forest(a[picked], b[picked])
+        step = np.arange(label.max() + 1)
+        step[away] = to
+        label = step[label]
+
+
+def _confirmed_in(rows: pa.RecordBatch, i: np.ndarray, j: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Which likely pairs are links and join what is apart; the sets are compared here, most equal registers first."""
+    _, label = np.unique(rows.column("root").to_numpy(), return_inverse=True)
+    parent, sets, chosen = np.arange(label.max() + 1), rows.column("set"), np.zeros(len(i), bool)
+    held: dict[int, np.ndarray] = {}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def own(k: int) -> np.ndarray:
+        if k not in held:
+            held[k] = sets[k].values.to_numpy()
+        return held[k]
+
+    for at in np.argsort(-equal, kind="stable"):
+        a, b = int(i[at]), int(j[at])
+        x, y = root(label[a]), root(label[b])
+        if x != y:
+            both = len(np.intersect1d(own(a), own(b), assume_unique=True))
+            if 100 * both >= PERCENT * (len(own(a)) + len(own(b)) - both):
+                parent[max(x, y)], chosen[at] = min(x, y), True
+    return chosen
+
+
+def _block_pairs(spanning: bool):
+    """Inside each run of equal ``key``: a spanning forest of likely pairs, or the links that join what is apart.
+
+    Rows come sorted by key; a run holds two blocks at most. Links are confirmed
+    on the sets that the rows carry, so likely pairs that are none never leave the task.
     """
 
-    def pairs_of(rows: pa.RecordBatch):
-        rep, root, n = (rows.column(k).to_numpy() for k in ("rep", "root", "n"))
-        side, sketch = rows.column("side").to_numpy(), _sketches(rows.column("sketch"))
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = not len(y)
-        if same:
-            y = x
-        for i in x:
-            other = y[(root[y] != root[i]) & (100 * np.minimum(n[y], n[i]) >= PERCENT * np.maximum(n[y], n[i]))]
-            if same:
-                other = other[other > i]
-            if len(other):
-                a, b = sketch[i][None, :], sketch[other]
-                j = joint_jaccard((a > b).sum(1), (a < b).sum(1), np.full(len(other), n[i]), n[other])
-                for k in other[j >= PERCENT / 100 - MARGIN]:
-                    yield min(rep[i], rep[k]), max(rep[i], rep[k])
-
-    held = None
-    for batch in source:
-        table = pa.Table.from_batches([*([held] if held is not None else []), batch]).combine_chunks()
-        if not len(table):
-            continue
-        whole = table.to_batches()[0]
-        key = whole.column("key").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-        found = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            found += pairs_of(whole.slice(a, b - a))
-        held = whole.slice(cuts[-1])
-        if found:
-            yield pa.RecordBatch.from_pydict({"a": [int(p) for p, _ in found], "b": [int(q) for _, q in found]})
-    found = list(pairs_of(held)) if held is not None else []
-    yield pa.record_batch([pa.array([int(p) for p, _ in found], pa.int64()),
-                           pa.array([int(q) for _, q in found], pa.int64())], names=["a", "b"])
-
-
-def _rest_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs in one bucket whose components differ so far."""
+    def pairs_of(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        i, j, equal = _likely_in(rows)
+        rep = rows.column("rep").to_numpy()
+        if len(i):
+            keep = _strongest(i, j, equal, rows.column("root").to_numpy()) if spanning else _confirmed_in(rows, i, j, equal)
+            i, j = i[keep], j[keep]
+        return np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in source:
+            table = pa.Table.from_batches([*([held] if held is not None else []), batch]).combine_chunks()
+            if not len(table):
+                continue
+            whole = table.to_batches()[0]
+            key = whole.column("key").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                yield pa.record_batch([pa.array(v) for v in pairs_of(whole.slice(a, b - a))], names=["a", "b"])
+            held = whole.slice(cuts[-1])
+        if held is not None:
+            yield pa.record_batch([pa.array(v) for v in pairs_of(held)], names=["a", "b"])
+
+    return run
+
+
+def _rest_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame, spanning: bool, documents: DataFrame,
+                ids: DataFrame) -> DataFrame:
+    """Pairs of one bucket that could join (``spanning``) or do join components that differ so far."""
     named = rows.join(roots.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left").withColumn(
         "root", F.coalesce("root", "rep"))
     mixed = (named.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2"))
@@ -258,9 +342,14 @@ def _rest_pairs(rows: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFr
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
               .select("rep", "root", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
                       (F.col("own") > F.col("other")).cast("int").alias("side")))
-    dealt = (placed.join(classes.select("rep", "n", "sketch"), "rep").select("key", "rep", "root", "n", "side", "sketch")
-             .repartition("key").sortWithinPartitions("key"))
-    return dealt.mapInArrow(_block_pairs, "a long, b long").distinct()
+    parts = classes.select("rep", "n", "sketch")
+    if not spanning:
+        placed = written(placed, "placed")
+        parts = parts.join(class_sets(placed, documents, ids), "rep")
+    # few bytes but much work a row: a fixed number of tasks, else adaptive execution merges them
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.join(parts, "rep").repartition(tasks, "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(_block_pairs(spanning), "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -277,12 +366,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     low = exploded.groupBy("bucket").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = written(exploded.join(low.select("bucket", "low"), "bucket"), "buckets")
     stars = rows.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))
-    # first one partner each, then the other smallest members, then what is still apart
+    # first one partner each, then the strongest pairs that could join what is apart, then all that are left
     nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     roots = components(confirmed(likely_pairs(nearest, classes), documents, ids))
-    for pairs in (lambda: likely_pairs(_apart(stars.distinct(), roots), classes),
-                  lambda: _rest_pairs(rows.select("rep", "bucket"), roots, classes)):
-        more = written(confirmed(pairs(), documents, ids), "links")
+    members = rows.select("rep", "bucket")
+    for spanning in (True, False):
+        more = _rest_pairs(members, roots, classes, spanning, documents, ids)
+        more = written(confirmed(more, documents, ids) if spanning else more, "links")
         if not more.isEmpty():
             roots = components(roots.union(more))
     of_class = (classes.join(roots.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
@@ -296,14 +386,6 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one component yet."""
-    for side in ("a", "b"):
-        pairs = pairs.join(roots.select(F.col("a").alias(side), F.col("b").alias(f"root_{side}")), side, "left").withColumn(
-            f"root_{side}", F.coalesce(f"root_{side}", side))
-    return pairs.where("root_a <> root_b").select("a", "b")
-
-
 def keep_one(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stand for their group: the smallest id of each component.
 
