@@ -5,7 +5,8 @@ need no window. Links come from name keys. What the dictionary says about a
 foreign column (strength, conflict, number of links, first target) follows from
 counts per key, so it is linear in the columns whatever the size of a key.
 Pairs are only written out for the foreign columns that a caller asks for, and
-then completely.
+then completely; ``relationship_members`` holds the links of all columns as the
+two sides of each key.
 """
 
 from __future__ import annotations
@@ -61,7 +62,7 @@ def _match_keys(frame: DataFrame) -> DataFrame:
     """One row per name key of an identifier: its signature and its lower-case name."""
     lower = F.lower("source_column")
     return frame.select(
-        "source_table", "source_column", "physical_type", "signature", lower.alias("lower_name"),
+        "source_table", "source_column", "physical_type", "signature", "key_role", lower.alias("lower_name"),
         F.explode(F.array(F.concat(F.lit("S:"), F.col("signature")), F.concat(F.lit("N:"), lower)))
         .alias("match_key"))
 
@@ -121,6 +122,36 @@ def _describe(pairs: DataFrame) -> DataFrame:
         F.when(~compatible, CONFLICT_TEXT).alias("contradictions"))
 
 
+def relationship_members(roles: DataFrame, conflicting: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All links of all columns, complete but not multiplied: every column on every name key that links it.
+
+    A foreign column (side FROM) and a primary candidate (side TO) form a link
+    where they share a match key and their tables differ; keys ``N:`` (equal
+    names) link only columns whose signatures differ, since the key ``S:`` has the
+    others. Every row takes part in at least one link, or with ``conflicting`` in
+    one between different types. Linear in the columns whatever the size of a key.
+    """
+    keyed = _match_keys(roles.where(F.col("key_role").isin(PRIMARY, FOREIGN))).withColumn(
+        "side", F.when(F.col("key_role") == FOREIGN, "FROM").otherwise("TO"))
+    # the lowest and highest table tell whether a group has any other table
+    groups = keyed.groupBy("match_key", "side", "physical_type", "signature").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("source_table").alias("low"), F.max("source_table").alias("high"))
+    # one entry for each side, signature and type of a key: few, whatever the number of columns
+    per_key = groups.groupBy("match_key").agg(
+        F.sum("rows").alias("rows"),
+        F.collect_list(F.struct("side", "physical_type", "signature", "low", "high")).alias("groups"))
+    joined = lookup_join(keyed, per_key, ["match_key"], "rows", how="inner", hot_rows=hot_rows)
+
+    def met(g: Column) -> Column:
+        linked = ((g["side"] != F.col("side"))
+                  & (F.col("match_key").startswith("S:") | (g["signature"] != F.col("signature")))
+                  & ((g["low"] != F.col("source_table")) | (g["high"] != F.col("source_table"))))
+        return linked & (g["physical_type"] != F.col("physical_type")) if conflicting else linked
+
+    return joined.where(F.exists("groups", met)).select(
+        "match_key", "side", "source_table", "source_column", "physical_type", "signature")
+
+
 def relationship_links(roles: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per foreign column: best strength, conflict, number of links and first target, without pairs.
 

@@ -127,6 +127,16 @@ def relationship_rows(candidates: DataFrame, context: RunContext, created_at: Co
         F.lit("DATA_ARCHITECT").alias("reviewer_role"), text.alias("review_rationale"), created_at.alias("created_at"))
 
 
+def relationship_member_rows(members: DataFrame, context: RunContext, created_at: Column) -> DataFrame:
+    """All links as the governed sides of their keys, for relations whose pairs are too many to write out."""
+    return members.select(
+        *[F.lit(v).alias(k) for k, v in context.values().items()], "match_key", "side", "source_table", "source_column",
+        "physical_type", F.lit("FOREIGN_KEY").alias("relationship_type"),
+        F.lit("INFERRED").alias("observed_or_inferred"), F.lit("PROPOSED").alias("approval_state"),
+        F.lit("DATA_ARCHITECT").alias("reviewer_role"), F.lit(None).cast("string").alias("review_rationale"),
+        created_at.alias("created_at"))
+
+
 def gated_profiles(tables: dict[str, DataFrame], internal: dict[str, list[str]], context: RunContext,
                    created_at: Column, exact: bool = False) -> DataFrame:
     """Evidence of the permitted columns: one scan and one aggregate per table.

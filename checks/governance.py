@@ -12,7 +12,7 @@ from catalograph.operators import review as W
 from catalograph.plans import build
 from checks.base import RUN, once, sql_text, table, registry
 from checks.names_and_keys import ROUTE_SQL
-from checks.observed import created, links, obs_query, observations, order_links
+from checks.observed import created, links, obs_query, observations, members
 
 QUERIES, ORACLES, query = registry()
 KEYS = ["source_table", "source_column"]
@@ -314,8 +314,8 @@ def _objects(spark, sf_dir):
 
 
 def _relationships(spark, sf_dir):
-    return once(spark, sf_dir, "relationships", lambda: build.relationship_rows(
-        order_links(spark, sf_dir), RUN, created()))
+    return once(spark, sf_dir, "relationships", lambda: build.relationship_member_rows(
+        members(spark, sf_dir), RUN, created()))
 
 
 def _tables_in(spark, sf_dir):

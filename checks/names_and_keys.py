@@ -13,7 +13,7 @@ from catalograph.sources.packs import load_pack, pack_registry
 from checks.base import (CATALOGUE_SQL, CONVENTION_SQL, HYPOTHESES_SQL, NAMED_SQL, PARTS_SQL, PRIVACY_SQL, RUN,
                          catalogue, concepts, registry, table, values, written)
 from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, links, obs_query, observations,
-                             observations_plan, order_links, roles)
+                             observations_plan, members, members_sql, roles)
 
 QUERIES, ORACLES, query = registry()
 _NAMES = "names AS (SELECT DISTINCT source_column FROM attrs)"
@@ -187,17 +187,10 @@ def single_key_roles(spark, sf_dir):
     return catalogue(spark, sf_dir).select(t, c, K.single_key_role(t, c).alias("key_role"))
 
 
-@query(f"""WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT from_table, from_column, to_table, to_column,
-'FOREIGN_KEY' AS relationship_type, true AS naming_overlap, type_compatible, confidence_score,
-CASE WHEN exact THEN 1::DOUBLE ELSE 0.9::DOUBLE END AS naming_strength,
-CASE WHEN exact THEN 'Both columns bear the same name.'
-  ELSE 'The ends of both names agree.' END AS evidence_description,
-CASE WHEN type_compatible THEN 'Names and types agree.'
-  ELSE 'Names agree, types do not.' END AS confidence_reason,
-CASE WHEN NOT type_compatible THEN 'The types of the two columns do not fit together.' END AS contradictions FROM scoredpairs WHERE from_table LIKE 'stg_ord%'""")
+@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {members_sql()} SELECT * FROM members")
 def relationship_candidates(spark, sf_dir):
-    """K5: every pair of the orders' foreign columns."""
-    return order_links(spark, sf_dir)
+    """K5: the links of all foreign columns, as both sides of each match key."""
+    return members(spark, sf_dir)
 
 
 @query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT source_table, source_column, link_count::BIGINT AS link_count, first_target, "

@@ -34,10 +34,9 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, sf_dir, "links", lambda: K.relationship_links(roles(spark, sf_dir)))
 
 
-def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of the orders' foreign columns: the set that review and quality checks ask for."""
-    asked = roles(spark, sf_dir).where("source_table LIKE 'stg_ord%'")
-    return K.relationship_candidates(roles(spark, sf_dir), asked)
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All links of all columns as the two sides of each key, written once."""
+    return once(spark, sf_dir, "members", lambda: K.relationship_members(roles(spark, sf_dir)))
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +74,10 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY source_table, signature IS
 roles AS (SELECT source_table, source_column, ordinal_position, physical_type, nullable, signature,
   CASE WHEN signature IS NULL THEN 'NON_KEY' WHEN rn = 1 THEN 'PRIMARY_KEY_CANDIDATE'
        ELSE 'FOREIGN_KEY_CANDIDATE' END AS key_role FROM ranked)"""
-PAIRS_SQL = """
+KEYS_SQL = """
 mk AS MATERIALIZED (SELECT *, lower(source_column) AS low, unnest(['S:' || signature, 'N:' || lower(source_column)]) AS match_key
-  FROM roles WHERE key_role <> 'NON_KEY'),
+  FROM roles WHERE key_role <> 'NON_KEY')"""
+PAIRS_SQL = KEYS_SQL + """,
 allpairs AS (SELECT f.match_key, f.source_table AS from_table, f.source_column AS from_column,
   p.source_table AS to_table, p.source_column AS to_column, f.low = p.low AS exact,
   f.signature = p.signature AS same_sig, f.physical_type = p.physical_type AS type_compatible
@@ -93,6 +93,16 @@ evidence AS (SELECT source_table, source_column, 'Inferred relationship: ' || so
 strengths AS (SELECT from_table AS source_table, from_column AS source_column, max(confidence_score) AS candidate_strength,
   bool_or(NOT type_compatible) AS candidate_conflict FROM scoredpairs GROUP BY ALL)"""
 
+# mk -> members: both sides of every key that links them; with another condition only of some links
+def members_sql(also: str = "true") -> str:
+    return KEYS_SQL + f""",
+sides AS (SELECT match_key, key_role, physical_type, signature, min(source_table) AS low, max(source_table) AS high FROM mk GROUP BY ALL),
+members AS (SELECT match_key, CASE key_role WHEN 'FOREIGN_KEY_CANDIDATE' THEN 'FROM' ELSE 'TO' END AS side,
+  source_table, source_column, physical_type, signature FROM mk m WHERE EXISTS (SELECT 1 FROM sides s
+  WHERE s.match_key = m.match_key AND s.key_role <> m.key_role AND (starts_with(m.match_key, 'S:') OR s.signature <> m.signature)
+  AND (s.low <> m.source_table OR s.high <> m.source_table) AND {also}))"""
+
+
 _TOTAL = repr(sum(WEIGHTS.values()))
 _W = {k: f"{v!r}::DOUBLE" for k, v in WEIGHTS.items()}
 _RAW = (f"(0::DOUBLE + CASE WHEN nc THEN 0::DOUBLE ELSE naming_strength * {_W['naming_strength']} END"

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalograph.operators import privacy, profile, quality
+from catalograph.operators import keys, privacy, profile, quality
 from catalograph.plans import build
 from catalograph.sources import scan, sink
 from checks.base import CATALOGUE_SQL, RUN, catalogue, concepts, sql_text, table, registry
-from checks.observed import created
+from checks.observed import ROLES_SQL, created, members_sql, roles
 
 QUERIES, ORACLES, query = registry()
 
@@ -301,15 +301,10 @@ def dq_orphans(spark, sf_dir):
     return a.withColumn("link", F.lit("documents.doc_id")).unionByName(b.withColumn("link", F.lit("orders.o_custkey")))
 
 
-@query(f"""WITH {CATALOGUE_SQL} SELECT f.source_table AS from_table, f.source_column AS from_column, t.source_table AS to_table,
- t.source_column AS to_column, f.physical_type AS from_type, t.physical_type AS to_type
- FROM orders JOIN attrs f ON f.source_table = 'stg_ord' || o_orderkey AND f.ordinal_position = 2
- JOIN attrs t ON t.source_table = 'src_cust' || o_custkey AND t.ordinal_position = 1 WHERE f.physical_type <> t.physical_type""")
+@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {members_sql('s.physical_type <> m.physical_type')} SELECT * FROM members")
 def dq_type_conflict(spark, sf_dir):
-    """Q5: links whose two columns have different types."""
-    from checks.observed import order_links
-    pairs = order_links(spark, sf_dir).where(F.col("to_table").startswith("src_cust"))
-    return quality.relationship_type_mismatches(pairs, catalogue(spark, sf_dir))
+    """Q5: links whose two columns have different types, as both sides of each match key."""
+    return keys.relationship_members(roles(spark, sf_dir), conflicting=True)
 
 
 _ISSUES = ("NULL_OR_EMPTY_VALUE", "DUPLICATE_IDENTIFIER", "ORPHAN_FOREIGN_KEY", "UNKNOWN_SEMANTIC_PATTERN",
