@@ -104,12 +104,15 @@ def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFr
 
     Row digests are summed in eight 32-bit lanes, so copies count and rows need
     no sort or group; the sums are exact decimals. The same rows in any order
-    give the same key, a changed value or type gives another.
+    give the same key, a changed value or type gives another. Timestamps are
+    written with their microseconds, those with a zone in UTC.
     """
     columns = columns or df.columns
     schema = ",".join(f"{f.name}:{f.dataType.simpleString()}:{str(f.nullable).lower()}"
                       for f in df.schema.fields if f.name in columns)
-    row = F.sha2(F.to_json(F.struct(*[quoted(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+    row = F.sha2(F.to_json(F.struct(*[quoted(c) for c in columns]), {
+        "ignoreNullFields": "false", "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}), 256)
     lanes = [F.sum(F.conv(F.substring("h", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")) for i in range(8)]
     sums = df.select(row.alias("h")).agg(
         F.count(F.lit(1)).alias("row_count"),
