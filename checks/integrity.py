@@ -122,7 +122,7 @@ def ontology_integrity(spark, sf_dir):
 c AS (SELECT 'm' || l_suppkey AS module, 'C' || (l_partkey % 400) || '.' || l_linenumber || '.' || l_orderkey % 30 AS concept_id,
   CASE WHEN l_orderkey % 41 = 0 THEN -1 ELSE s_nationkey % 5 END AS d, CASE WHEN l_orderkey % 53 = 0 THEN 'SHAPE' ELSE 'CODE' END AS t
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_suppkey % 17 <> 0),
-v AS (SELECT 'm' || c_nationkey AS module, 'V' || (c_custkey // 2) AS vocabulary_id FROM customer WHERE c_custkey % 90 < 2),
+v AS (SELECT 'm' || c_nationkey AS module, 'V' || (c_custkey // 2) AS vocabulary_id FROM customer),
 s AS (SELECT 'm' || (o_custkey % 10) AS module, 'S' || (o_orderkey - CASE WHEN o_orderkey % 500 = 1 THEN 1 ELSE 0 END) AS shape_id, o_orderkey, o_custkey FROM orders),
 used AS (SELECT DISTINCT 'C' || (o_custkey % 410) || '.1.' || o_orderkey % 30 AS concept_id FROM s UNION SELECT DISTINCT 'C' || (o_custkey % 400) || '.2.1' FROM s)
 SELECT module || ':pack_version' AS subject, 'identity differs from the bundle root' AS finding FROM m WHERE v <> '1.0.0'
@@ -142,7 +142,7 @@ def bundle_integrity(spark, sf_dir):
         "concat('m', l_suppkey) AS module", "concat('C', l_partkey % 400, '.', l_linenumber, '.', l_orderkey % 30) AS concept_id",
         "CASE WHEN l_orderkey % 41 = 0 THEN '-1' ELSE cast(s_nationkey % 5 AS string) END AS domain",
         "CASE WHEN l_orderkey % 53 = 0 THEN 'SHAPE' ELSE 'CODE' END AS concept_type")
-    vocabularies = t("customer").where("c_custkey % 90 < 2").selectExpr("concat('m', c_nationkey) AS module", "concat('V', c_custkey div 2) AS vocabulary_id")
+    vocabularies = t("customer").selectExpr("concat('m', c_nationkey) AS module", "concat('V', c_custkey div 2) AS vocabulary_id")
     shapes = t("orders").selectExpr(
         "concat('m', o_custkey % 10) AS module", "concat('S', o_orderkey - CASE WHEN o_orderkey % 500 = 1 THEN 1 ELSE 0 END) AS shape_id",
         "concat('C', o_custkey % 410, '.1.', o_orderkey % 30) AS root_concept_id", "array(concat('C', o_custkey % 400, '.2.1')) AS required_concept_ids",
@@ -212,12 +212,12 @@ def immutable_versions(spark, sf_dir):
     return G.immutable_version(old, new, ["p_partkey"], ["path", "content_sha256"])
 
 
-@query("""WITH e AS (SELECT vec_id, unnest(list_transform(embedding[1:8], lambda x: 'b' || floor(x * 20)::INT)) AS bucket FROM embeddings)
+@query("""WITH e AS (SELECT vec_id, unnest(list_transform(embedding, lambda x: 'b' || floor(x * 20)::INT)) AS bucket FROM embeddings)
 SELECT DISTINCT bucket, vec_id FROM e WHERE bucket NOT IN (SELECT 'b' || (n_nationkey - 12) FROM nation WHERE n_regionkey <> 2)""")
 def array_subset(spark, sf_dir):
     """Array elements that are not among the allowed values."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(
-        F.slice("embedding", 1, 8), lambda x: F.concat(F.lit("b"), F.floor(x * F.lit(20).cast("float")).cast("int").cast("string"))).alias("buckets"))
+        "embedding", lambda x: F.concat(F.lit("b"), F.floor(x * F.lit(20).cast("float")).cast("int").cast("string"))).alias("buckets"))
     allowed = table(spark, sf_dir, "nation").where("n_regionkey <> 2").select(F.concat(F.lit("b"), (F.col("n_nationkey") - 12).cast("string")).alias("bucket"))
     return G.array_subset(rows, "buckets", allowed, "bucket", ["vec_id"])
 

@@ -22,13 +22,28 @@ def _union(frames):
 
 # ---------------------------------------------------------------- inventory
 _SCHEMAS = {
-    "orders": ["o_orderkey:LongType()", "o_custkey:LongType()", "o_orderstatus:StringType()", "o_totalprice:DoubleType()",
-               "o_orderdate:TimestampNTZType()", "o_orderpriority:StringType()"],
+    "region": ["r_regionkey:IntegerType()", "r_name:StringType()"],
+    "nation": ["n_nationkey:IntegerType()", "n_name:StringType()", "n_regionkey:IntegerType()"],
     "customer": ["c_custkey:LongType()", "c_name:StringType()", "c_nationkey:IntegerType()", "c_acctbal:DoubleType()",
                  "c_mktsegment:StringType()"],
+    "supplier": ["s_suppkey:LongType()", "s_name:StringType()", "s_nationkey:IntegerType()", "s_acctbal:DoubleType()"],
+    "part": ["p_partkey:LongType()", "p_name:StringType()", "p_brand:StringType()", "p_type:StringType()",
+             "p_size:IntegerType()", "p_retailprice:DoubleType()"],
+    "orders": ["o_orderkey:LongType()", "o_custkey:LongType()", "o_orderstatus:StringType()",
+               "o_totalprice:DoubleType()", "o_orderdate:TimestampNTZType()", "o_orderpriority:StringType()"],
+    "lineitem": ["l_orderkey:LongType()", "l_partkey:LongType()", "l_suppkey:LongType()", "l_linenumber:IntegerType()",
+                 "l_quantity:DoubleType()", "l_extendedprice:DoubleType()", "l_discount:DoubleType()",
+                 "l_tax:DoubleType()", "l_returnflag:StringType()", "l_linestatus:StringType()",
+                 "l_shipdate:TimestampNTZType()"],
     "events": ["event_id:LongType()", "ts:TimestampNTZType()", "user_id:LongType()", "event_type:StringType()",
                "value:DoubleType()", "props:StringType()"],
+    "documents": ["doc_id:LongType()", "text:StringType()", "lang:StringType()", "source:StringType()",
+                  "n_chars:LongType()"],
     "embeddings": ["vec_id:LongType()", "embedding:ArrayType(FloatType(), True)", "label:IntegerType()"],
+    "pages": ["page_id:LongType()", "url:StringType()", "html:StringType()"],
+    "benchmark": ["item_id:LongType()", "text:StringType()"],
+    "labels": ["doc_id:LongType()", "quality:IntegerType()", "toxic:IntegerType()"],
+    "conversations": ["conv_id:LongType()", "turn:LongType()", "role:StringType()", "text:StringType()"],
 }
 
 
@@ -367,19 +382,38 @@ def dq_boundary_parse(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- prohibited evidence
+# Which rows of which text columns get the sentinel put before their text: SQL text used by both engines.
+# The others, and page addresses with the sentinel behind them, must not be found.
+_PLANTED = {
+    ("nation", "n_name"): "n_nationkey = 7", ("customer", "c_name"): "c_custkey % 97 = 3", ("part", "p_type"): "p_partkey % 97 = 3",
+    ("orders", "o_orderstatus"): "o_orderkey % 97 = 3", ("lineitem", "l_linestatus"): "l_orderkey % 97 = 3 AND l_linenumber = 1",
+    ("events", "props"): "event_id % 97 = 3", ("documents", "text"): "doc_id % 41 = 3", ("pages", "html"): "page_id % 11 = 3",
+    ("benchmark", "text"): "item_id % 3 = 1", ("conversations", "text"): "conv_id % 7 = 3",
+}
+_TEXTS = {t: [c.split(":")[0] for c in cols if c.endswith(":StringType()")] for t, cols in _SCHEMAS.items()}
+_TEXTS = {t: cols for t, cols in _TEXTS.items() if cols}
+
+
+def _planted(name, column):
+    if (name, column) == ("pages", "url"):
+        return f"concat({column}, '{privacy.SENTINEL_PREFIX}')"
+    rule = _PLANTED.get((name, column))
+    return f"CASE WHEN {rule} THEN concat('{privacy.SENTINEL_PREFIX}', {column}) ELSE {column} END" if rule else column
+
+
 _HITS = f"""WITH {CATALOGUE_SQL},
 hits AS (SELECT source_table, source_column FROM attrs WHERE lower(source_column) IN
   ('loss_narrative','claim_narrative','credentials','connection_string')
- UNION SELECT 'documents', 'text' FROM documents HAVING bool_or(starts_with(text, 'The'))
- UNION SELECT 'documents', 'source' FROM documents HAVING bool_or(starts_with(source, 'The'))
- UNION SELECT 'pages', 'url' FROM pages HAVING bool_or(starts_with(url, 'The'))
- UNION SELECT 'pages', 'html' FROM pages HAVING bool_or(starts_with(html, 'The')))"""
+ """ + "\n ".join(
+    f"UNION SELECT '{t}', '{c}' FROM {t} HAVING bool_or(starts_with({_planted(t, c)}, '{privacy.SENTINEL_PREFIX}'))"
+    for t, cols in _TEXTS.items() for c in cols) + ")"
 
 
 def _hits(spark, sf_dir):
     named = privacy.prohibited_columns(catalogue(spark, sf_dir)).select("source_table", "source_column")
-    return _union([named, privacy.prohibited_values(table(spark, sf_dir, "documents").select("text", "source"), "documents", "The"),
-                   privacy.prohibited_values(table(spark, sf_dir, "pages").select("url", "html"), "pages", "The")])
+    return _union([named, *[
+        privacy.prohibited_values(table(spark, sf_dir, t).selectExpr(*[f"{_planted(t, c)} AS {c}" for c in cols]), t)
+        for t, cols in _TEXTS.items()]])
 
 
 @query(_HITS + " SELECT * FROM hits")
