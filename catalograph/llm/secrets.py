@@ -1,7 +1,9 @@
 """Secret scans: pattern candidates, then a random forest that removes false positives.
 
-Candidates are runs of key-like characters with enough digits or mixed case to
-be a credential. Each gets features of its length, its character transitions,
+Candidates are runs of 16 or more key-like characters with a digit, of any
+length, and after a credential word with its sign (``token = "..."``,
+``password:``, ``DB_PASSWORD=``) runs of any length with or without digits. A
+value ends at the first character that is none of ``A-Z a-z 0-9 _ + / = -``. Each gets features of its length, its character transitions,
 how much of it dictionary words cover, its path and its neighbouring words. A
 random forest, trained from labelled findings, decides which are secrets.
 
@@ -31,13 +33,6 @@ THRESHOLD = 0.5
 MAX_FINDINGS = 20_000
 MASK = "[SECRET]"
 
-# A candidate: 16 to 256 key characters, not inside a longer run, at least one digit; the
-# word before it (and what joins them) and the word after it come along.
-_KEY = r"[A-Za-z0-9_+/=\-]"
-CANDIDATE = rf"(?<!{_KEY})(?=[A-Za-z_+/=\-]*[0-9]){_KEY}{{16,256}}(?!{_KEY})"
-# What may stand before the value in the same run: a name and its sign.
-ASSIGNMENT = r"^([A-Za-z_\-]{2,40})=(.*)$"
-
 # Words that name credentials, words that name harmless digests and ids, and
 # pieces of ordinary identifiers.
 KEY_WORDS = ("token", "password", "passwd", "pwd", "secret", "apikey", "api_key", "key", "auth", "bearer",
@@ -47,8 +42,26 @@ HARMLESS_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash",
 DICTIONARY = ("test", "example", "sample", "dummy", "placeholder", "default", "change", "your", "name", "value",
               "file", "path", "http", "html", "index", "page", "user", "data", "item", "class", "function", "public",
               "static", "config", "server", "client", "license", "version", "number", "table", "column", "string")
+# Words that follow a credential word and its sign without being its value.
+PLAIN = ("the", "a", "of", "and", "is", "in", "see", "none", "null", "true", "false", "self", "required", "optional",
+         "missing", "expired", "invalid", "hidden", "empty", "new", "this", "that", "what", "how", "Bearer", "Basic",
+         "words", "people", "information", "access", "management", "important", "understanding", "communication")
 TEST_PATHS = ("test", "example", "doc", "fixture", "sample")
 
+# A candidate is a whole run of key characters: one of 16 or more with a digit, or any run that is the value
+# of a credential word and its sign, before the run (token: "...") or at its head (token=...). The word
+# before it (and what joins them) and the word after it come along. Every choice is made at the start of a
+# run and looks at bounded text besides the run itself, which is matched without going back.
+_KEY = r"[A-Za-z0-9_+/=\-]"
+_CREDENTIAL = rf"(?i:{'|'.join(KEY_WORDS)})[A-Za-z0-9_\-]{{0,12}}"
+_HEAD = rf"[A-Za-z0-9_\-]{{0,40}}{_CREDENTIAL}"
+_SIGNED = (r"(?<=[=:]>?[ \t]{0,8}[\"']?)" rf"(?<={_CREDENTIAL}[\"']?[ \t]{{0,8}}[=:]>?[ \t]{{0,8}}[\"']?)"
+           rf"|(?<={_CREDENTIAL}[\"']?[ \t]{{1,8}})(?==[A-Za-z0-9_+/\-])|(?={_HEAD}=+[A-Za-z0-9_+/\-])")
+CANDIDATE = (rf"(?<!{_KEY})(?:(?=[A-Za-z_+/=\-]*+[0-9]){_KEY}{{16,}}+|(?:{_SIGNED})"
+             rf"(?==*[A-Za-z0-9_+/\-]){_KEY}++)")
+# What may stand before the value in the same run: a name and its sign, or the sign alone.
+ASSIGNMENT = rf"^([A-Za-z_\-]{{2,40}}|{_HEAD}|)=(=*[^=].*)$"
+
 FEATURES = ("length", "digit_share", "upper_share", "distinct_share", "switches", "letter_digit", "hex_only",
             "vowel_share", "longest_word", "coverage", "test_path", "key_before", "harmless_before", "sign_before",
             "known_prefix")
@@ -105,7 +118,9 @@ def candidates(text: Column) -> Column:
         run, gap = x["run"], x["gap"]
         # null unless the run is an assignment, so that coalesce picks the form
         value = F.when(run.rlike(ASSIGNMENT), F.regexp_extract(run, ASSIGNMENT, 2))
-        name = F.when(run.rlike(ASSIGNMENT), F.concat(F.regexp_extract(run, ASSIGNMENT, 1), F.lit("=")))
+        named = F.regexp_extract(run, ASSIGNMENT, 1)
+        name = F.when(run.rlike(ASSIGNMENT), F.concat(
+            F.when(named == "", F.right(gap, F.lit(39))).otherwise(named), F.lit("=")))
         return F.struct(
             (F.length(run) - F.length(F.coalesce(value, run))).alias("skip"), F.coalesce(value, run).alias("candidate"),
             F.coalesce(name, F.right(gap, F.lit(40))).alias("before"), F.left(x["next"], F.lit(40)).alias("after"))
@@ -131,12 +146,14 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
     """A labelled table of findings: candidate, before, after, path, is_secret.
 
     Half are credentials in the forms they are seen in (random hex, base64 and
-    prefixed keys after a credential word), half are what scanners mistake for
+    prefixed keys after a credential word, short and digit-free values behind a sign,
+    tokens of hundreds of characters), half are what scanners mistake for
     them: digests and revisions, UUIDs, identifiers made of words, long numbers,
-    fill-in values and keys of test files. Values come from hashes of the row number.
+    fill-in values and keys of test files, plain words behind a credential word and
+    its sign, long paths. Values come from hashes of the row number.
     """
     row = spark.range(n).select(
-        "id", F.pmod(F.xxhash64("id"), F.lit(6)).alias("kind"), (F.col("id") % 2 == 0).alias("is_secret"),
+        "id", F.pmod(F.xxhash64("id"), F.lit(9)).alias("kind"), (F.col("id") % 2 == 0).alias("is_secret"),
         F.sha2(F.col("id").cast("string"), 256).alias("hex"),
         F.base64(F.sha2((F.col("id") + 7).cast("string"), 256).cast("binary")).alias("b64"))
     pick = lambda values, salt: F.element_at(F.array(*[F.lit(v) for v in values]), (1 + F.pmod(
@@ -145,21 +162,33 @@ def labelled_findings(spark: SparkSession, n: int = 6_000) -> DataFrame:
     calm = pick(("commit ", "sha256: ", "checksum = ", "uuid ", "revision ", "see ", "etag: ", "of the "), 2)
     word = lambda salt: pick(DICTIONARY, salt)
     base36 = F.upper(F.conv(F.substring("hex", 1, 14), 16, 36))
+    signed = pick(("token = \"", "password=", "secret: ", "api_key = '", "auth: ", "DB_PASSWORD=", "pwd: ", "\"token\": \""), 13)
+    digits = F.translate("b64", "0123456789", "QxWvZkJqGf")
+    more = F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(3) + F.pmod("id", F.lit(9)).cast("int")), lambda k: F.rtrim(F.base64(
+        F.sha2(F.concat("hex", k.cast("string")), 256).cast("binary")), F.lit("="))), F.lit(""), lambda a, x: F.concat(a, x))
     secret = (F.when(F.col("kind") == 0, F.left("hex", F.lit(40))).when(F.col("kind") == 1, F.left("hex", F.lit(18)))
               .when(F.col("kind") == 2, F.concat(F.lit("AKIA"), F.rpad(F.concat(base36, F.upper(F.conv(
                   F.substring("hex", 15, 10), 16, 36))), 16, "7")))
               .when(F.col("kind") == 3, F.substring("b64", 3, 32)).when(F.col("kind") == 4, F.left("hex", F.lit(32)))
+              .when(F.col("kind") == 6, F.substring("b64", 9, F.lit(6) + F.pmod("id", F.lit(10)).cast("int")))
+              .when(F.col("kind") == 7, F.substring(digits, 9, F.lit(8) + F.pmod("id", F.lit(25)).cast("int")))
+              .when(F.col("kind") == 8, more)
               .otherwise(F.concat(F.lit("ghp_"), F.substring("b64", 5, 36))))
+    plain = pick((*DICTIONARY, *PLAIN), 14)
     harmless = (F.when(F.col("kind") == 0, F.left("hex", F.lit(40))).when(F.col("kind") == 1, F.col("hex"))
                 .when(F.col("kind") == 2, F.concat_ws("-", F.substring("hex", 1, 8), F.substring("hex", 9, 4),
                                                       F.substring("hex", 13, 4), F.substring("hex", 17, 4),
                                                       F.substring("hex", 21, 12)))
                 .when(F.col("kind") == 3, F.concat_ws("_", word(3), word(4), word(5), F.pmod("id", F.lit(100)).cast("string")))
                 .when(F.col("kind") == 4, F.lpad(F.conv(F.substring("hex", 1, 13), 16, 10), 16, "4"))
+                .when(F.col("kind") == 6, plain)
+                .when(F.col("kind") == 7, F.concat(word(15), F.initcap(word(16)), F.when(F.col("id") % 3 == 0, F.initcap(word(17))).otherwise("")))
+                .when(F.col("kind") == 8, F.concat_ws("/", *[word(k) for k in range(20, 70)], F.pmod("id", F.lit(1000)).cast("string")))
                 .otherwise(F.concat(word(6), F.lit("-"), word(7), F.lit("-"), word(8), F.lit("-000"))))
     before = F.when(F.col("is_secret"), F.when(F.col("kind").isin(2, 5), pick(("of ", "key: ", "in ", "id = \""), 9))
-                    .otherwise(F.when(key == "", "token=").otherwise(key)))
-    before = before.otherwise(F.when(F.col("kind").isin(3, 5), pick(("token = ", "password=", "in ", "see "), 10)).otherwise(calm))
+                    .when(F.col("kind").isin(6, 7), signed).otherwise(F.when(key == "", "token=").otherwise(key)))
+    before = before.otherwise(F.when(F.col("kind").isin(3, 5), pick(("token = ", "password=", "in ", "see "), 10))
+                              .when(F.col("kind").isin(6, 7), signed).otherwise(calm))
     return row.select(
         F.when(F.col("is_secret"), secret).otherwise(harmless).alias("candidate"), before.alias("before"),
         pick(("\"", " and", "\n", " the", "'"), 11).alias("after"),
@@ -225,14 +254,22 @@ def scan(documents: DataFrame, findings: DataFrame, threshold: float = THRESHOLD
 def mask(documents: DataFrame, findings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``documents`` with every secret replaced by ``MASK``; rows and columns stay, ``n_chars`` follows."""
     model, name = fit_forest(findings), unused(documents, "__secrets")
-    path = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    secrets = F.array_distinct(F.transform(
-        F.filter(findings_of(text_column(documents), path, model), lambda x: x["score"] >= threshold),
-        lambda x: x["candidate"]))
-    # longer ones first, so that no secret is cut by another one inside it
-    ordered = F.array_sort(secrets, lambda a, b: F.length(b) - F.length(a))
-    masked = F.aggregate(F.col(name), F.col("text").cast("string"), lambda t, s: F.replace(t, s, F.lit(MASK)))
-    changed = (documents.withColumn(name, ordered)
+    path, text = F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("text").cast("string")
+    secrets = F.filter(findings_of(text_column(documents), path, model), lambda x: x["score"] >= threshold)
+
+    # where they stand: a short value may be part of other words, so it is masked in its places only
+    def piece(s: Column, x: Column) -> Column:
+        return F.struct(F.concat(s["done"], F.substring(text, s["at"], x["pos"] - s["at"]), F.lit(MASK)).alias("done"),
+                        (x["pos"] + F.length(x["candidate"])).alias("at"))
+
+    cut = F.aggregate(F.col(name), F.struct(F.lit("").alias("done"), F.lit(1).alias("at")), piece,
+                      lambda s: F.concat(s["done"], F.substring(text, s["at"], F.length(text))))
+    long = F.array_distinct(F.transform(F.filter(F.col(name), lambda x: (F.length(x["candidate"]) >= 16)
+                                                 & x["candidate"].rlike("[0-9]")), lambda x: x["candidate"]))
+    # the others also wherever else they are found; longer ones first, so that no secret is cut by another one inside it
+    ordered = F.array_sort(long, lambda a, b: F.length(b) - F.length(a))
+    masked = F.aggregate(ordered, cut, lambda t, s: F.replace(t, s, F.lit(MASK)))
+    changed = (documents.withColumn(name, secrets)
                .withColumn("text", F.when(F.size(name) > 0, masked).otherwise(F.col("text"))))
     if "n_chars" in documents.columns:
         changed = changed.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text")).otherwise(
