@@ -7,7 +7,9 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.functions.text import identifier_signature
 from catalograph.operators.documentation import PROMPT_VERSION
+from catalograph.operators.keys import FOREIGN, PRIMARY
 from catalograph.operators.review import latest_decisions
 from catalograph.operators.scoring import RESOLVE_AMBIGUITY, routed
 
@@ -25,31 +27,61 @@ DICTIONARY_COLUMNS = (
 
 
 def predictions(observations: DataFrame, links: DataFrame) -> DataFrame:
-    """The evaluated fields per attribute; the target of a single link, or the first one and how many more.
+    """The evaluated fields per attribute; of its targets the number (``relationship_count``), whatever it is.
 
     The route is taken as if score, coverage and contradictions raised nothing,
     so it shows privacy, key, relationship and mapping alone.
     """
-    more = F.when(F.col("link_count") > 1, F.concat(F.lit(" and "), (F.col("link_count") - 1).cast("string"), F.lit(" more")))
-    targets = links.select(*KEYS, F.concat(F.col("first_target"), F.coalesce(more, F.lit(""))).alias("relationship_target"))
+    counts = links.select(*KEYS, F.col("link_count").alias("relationship_count"))
     plain = routed(observations.withColumns({
         "naming_contradicted": F.equal_null("open_question", F.lit(RESOLVE_AMBIGUITY)),
         "confidence_score": F.lit(1.0), "evidence_coverage": F.lit(1.0), "contradictions": F.lit(None).cast("string")}))
-    return plain.join(targets, KEYS, "left").select(
+    return plain.join(counts, KEYS, "left").select(
         *KEYS, "naming_contradicted", F.col("proposed_business_name").alias("business_name"),
         F.col("ontology_concept_id").alias("ontology_concept"), "domain", "privacy_class", "key_role",
-        "relationship_target", F.coalesce("recommended_reviewer_role", F.lit("NONE")).alias("review_route"))
+        F.coalesce("relationship_count", F.lit(0)).cast("long").alias("relationship_count"),
+        F.coalesce("recommended_reviewer_role", F.lit("NONE")).alias("review_route"))
+
+
+def _expected_links(predictions: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per labelled column and expected text, how many of the text's targets are links of the column.
+
+    A column and an expected target are linked as in ``keys.relationship_candidates``;
+    only the expected targets are looked up, so no pairs are written out.
+    """
+    asked = labels.where("expected_relationship_target IS NOT NULL").select(*KEYS, "expected_relationship_target").distinct()
+    targets = asked.select("*", F.explode(F.split("expected_relationship_target", r"\|")).alias("target")).distinct()
+    named = predictions.select(*KEYS, "key_role", identifier_signature(F.col("source_column")).alias("signature"),
+                               F.lower("source_column").alias("lower_name"))
+    foreign = named.where(F.col("key_role") == FOREIGN).drop("key_role")
+    primary = named.where(F.col("key_role") == PRIMARY).select(
+        F.concat_ws(".", *KEYS).alias("target"), F.col("source_table").alias("to_table"),
+        F.col("signature").alias("to_signature"), F.col("lower_name").alias("to_lower"))
+    linked = targets.join(foreign, KEYS).join(primary, "target").where(
+        (F.col("source_table") != F.col("to_table"))
+        & ((F.col("signature") == F.col("to_signature")) | (F.col("lower_name") == F.col("to_lower"))))
+    return linked.groupBy(*KEYS, "expected_relationship_target").agg(F.count(F.lit(1)).alias("matched"))
 
 
 def compare_labels(predictions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per label one ``<field>_match`` flag per evaluated field; null equals null."""
-    p = predictions.select(*KEYS, "naming_contradicted", *[F.col(f).alias(f"p_{f}") for f in EVALUATED])
-    joined = labels.join(p, KEYS, "left")
+    """Per label one ``<field>_match`` flag per evaluated field; null equals null.
+
+    Expected targets are separated by ``|``, in any order. They match if they are
+    all links of the column and it has no other.
+    """
+    plain = [f for f in EVALUATED if f != "relationship_target"]
+    p = predictions.select(*KEYS, "naming_contradicted", "relationship_count", *[F.col(f).alias(f"p_{f}") for f in plain])
+    joined = labels.join(p, KEYS, "left").join(
+        _expected_links(predictions, labels), [*KEYS, "expected_relationship_target"], "left")
+    count, expected = F.coalesce("relationship_count", F.lit(0)), F.col("expected_relationship_target")
+    whole = F.when(expected.isNull(), count == 0).otherwise(
+        (F.coalesce("matched", F.lit(0)) == count) & (F.size(F.split(expected, r"\|")) == count))
     return joined.select(
         "record_id", *KEYS, F.col("naming_contradicted"),
         (F.col("p_business_name").isNotNull() & F.col("p_domain").isNotNull()).alias("classified"),
         F.col("p_ontology_concept").isNotNull().alias("ontology_resolved"),
-        *[F.equal_null(f"p_{f}", f"expected_{f}").alias(f"{f}_match") for f in EVALUATED])
+        *[(whole if f == "relationship_target" else F.equal_null(f"p_{f}", f"expected_{f}")).alias(f"{f}_match")
+          for f in EVALUATED])
 
 
 def evaluation_summary(compared: DataFrame) -> DataFrame:

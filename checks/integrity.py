@@ -268,11 +268,17 @@ def _predictions(spark, sf_dir):
     return E.predictions(observations(spark, sf_dir), links(spark, sf_dir))
 
 
+_LABELLED = "source_table LIKE 'stg_ord%' OR (source_table LIKE 'src_cust%' AND (ordinal_position = 2 OR source_column = 'id'))"
+
+
 def _labels(spark, sf_dir):
-    """Expected values for every order column: the position says what must be found."""
+    """Expected values for every order column and the customers' nation keys and ids: the position says what must be found.
+
+    The ids link to every part but only two are expected, so they must not match.
+    """
     p = F.col("ordinal_position")
     none = F.lit(None).cast("string")
-    rows = catalogue(spark, sf_dir).where("source_table LIKE 'stg_ord%'")
+    rows = catalogue(spark, sf_dir).where(_LABELLED)
     cust = F.regexp_extract(F.lower("source_column"), r"cust(\d+)", 1)
     return rows.select(
         F.concat_ws(".", "source_table", p.cast("string")).alias("record_id"), "source_table", "source_column",
@@ -280,23 +286,29 @@ def _labels(spark, sf_dir):
         F.when(p == 3, "Policy.PolicyNumber").otherwise(none).alias("expected_ontology_concept"),
         F.when(p == 3, "Policy").otherwise("Shared").alias("expected_domain"), F.lit("INTERNAL").alias("expected_privacy_class"),
         F.when(p == 1, "PRIMARY_KEY_CANDIDATE").when(p == 2, "FOREIGN_KEY_CANDIDATE").otherwise("NON_KEY").alias("expected_key_role"),
-        F.when(p == 2, F.concat(F.lit("src_cust"), cust, F.lit(".cust"), cust, F.lit("_id"))).alias("expected_relationship_target"),
+        F.when(F.col("source_column") == "id", "part1.id|part2.id").when(F.col("source_column").startswith("nation"), F.concat(
+            F.lit("ref_"), F.regexp_extract("source_column", r"(nation\d+)", 1), F.lit("."), F.col("source_column")))
+        .when(p == 2, F.concat(F.lit("src_cust"), cust, F.lit(".cust"), cust, F.lit("_id"))).alias("expected_relationship_target"),
         F.when(p <= 2, "DATA_ARCHITECT").when(p == 3, "NONE").otherwise("DOMAIN_STEWARD").alias("expected_review_route"))
 
 
-_EVAL = """pred AS (SELECT *, starts_with(coalesce(open_question, ''), 'Which of') AS naming_contradicted, CASE WHEN privacy_class <> 'INTERNAL' THEN 'PRIVACY_STEWARD'
+_EVAL = f"""pred AS (SELECT *, starts_with(coalesce(open_question, ''), 'Which of') AS naming_contradicted, CASE WHEN privacy_class <> 'INTERNAL' THEN 'PRIVACY_STEWARD'
   WHEN key_role <> 'NON_KEY' OR relationship_evidence IS NOT NULL THEN 'DATA_ARCHITECT' WHEN ontology_concept_id IS NULL THEN 'DOMAIN_STEWARD' ELSE 'NONE' END AS route,
-  nullif(regexp_extract(coalesce(relationship_evidence, ''), '^Inferred relationship: \\S+ -> ([^;]+)', 1), '') AS target FROM obs),
-lab AS (SELECT *, regexp_extract(lower(source_column), 'cust(\\d+)', 1) AS ck FROM attrs WHERE source_table LIKE 'stg_ord%'),
+  coalesce(link_count, 0) AS target_count FROM obs LEFT JOIN links USING (source_table, source_column)),
+lab AS (SELECT *, regexp_extract(lower(source_column), 'cust(\\d+)', 1) AS ck, CASE WHEN source_column = 'id' THEN ['part1.id', 'part2.id']
+  WHEN starts_with(source_column, 'nation') THEN ['ref_' || regexp_extract(source_column, '(nation\\d+)', 1) || '.' || source_column]
+  WHEN ordinal_position = 2 THEN ['src_cust' || ck || '.cust' || ck || '_id'] ELSE [] END AS targets FROM attrs WHERE {_LABELLED}),
+hit AS (SELECT l.source_table, l.source_column, count(*) AS hits FROM lab l JOIN scoredpairs s ON s.from_table = l.source_table
+  AND s.from_column = l.source_column WHERE list_contains(l.targets, s.to_table || '.' || s.to_column) GROUP BY ALL),
 cmp AS (SELECT l.source_table || '.' || l.ordinal_position AS record_id, source_table, source_column, naming_contradicted, true AS classified,
  ontology_concept_id IS NOT NULL AS ontology_resolved,
  proposed_business_name IS NOT DISTINCT FROM CASE WHEN l.ordinal_position = 5 THEN source_column ELSE 'Policy Number' END AS business_name_match,
  ontology_concept_id IS NOT DISTINCT FROM CASE WHEN l.ordinal_position = 3 THEN 'Policy.PolicyNumber' END AS ontology_concept_match,
  domain = CASE WHEN l.ordinal_position = 3 THEN 'Policy' ELSE 'Shared' END AS domain_match, privacy_class = 'INTERNAL' AS privacy_class_match,
  key_role = CASE l.ordinal_position WHEN 1 THEN 'PRIMARY_KEY_CANDIDATE' WHEN 2 THEN 'FOREIGN_KEY_CANDIDATE' ELSE 'NON_KEY' END AS key_role_match,
- target IS NOT DISTINCT FROM CASE WHEN l.ordinal_position = 2 THEN 'src_cust' || ck || '.cust' || ck || '_id' END AS relationship_target_match,
+ coalesce(hits, 0) = target_count AND len(targets) = target_count AS relationship_target_match,
  route = CASE WHEN l.ordinal_position <= 2 THEN 'DATA_ARCHITECT' WHEN l.ordinal_position = 3 THEN 'NONE' ELSE 'DOMAIN_STEWARD' END AS review_route_match
- FROM lab l JOIN pred USING (source_table, source_column))"""
+ FROM lab l JOIN pred USING (source_table, source_column) LEFT JOIN hit USING (source_table, source_column))"""
 
 
 @query(obs_query("SELECT * FROM cmp", _EVAL))
