@@ -48,29 +48,46 @@ def _byte_values(lower: bool) -> np.ndarray:
     return table
 
 
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_CHUNK = 1 << 18
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and its inverse modulo 2**64 for k < n at least."""
-    if len(_POWERS[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            table = np.ones(size, np.uint64)
-            step, done = base, 1
-            while done < size:
-                table[done:2 * done] = table[:done] * np.uint64(step)
-                step, done = step * step & _MASK, done * 2
-            _POWERS[i] = table
-    return _POWERS[0], _POWERS[1]
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """base**k and its inverse modulo 2**64 for k up to ``_CHUNK``."""
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        table = np.ones(2 * _CHUNK, np.uint64)
+        step, done = base, 1
+        while done < len(table):
+            table[done:2 * done] = table[:done] * np.uint64(step)
+            step, done = step * step & _MASK, done * 2
+        tables.append(table)
+    return tables[0], tables[1]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal bytes give equal hashes wherever they stand."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_byte_values(lower)[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    ``starts`` and ``ends`` both ascend. Sums of bytes times powers run over the data in
+    chunks; only their values at the spans' ends are kept.
+    """
+    (up, down), values = _powers(), _byte_values(lower)
+    out, shift = np.zeros(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    carry, scale = np.uint64(0), 1
+    for begin in range(0, len(data) + 1, _CHUNK):
+        part = data[begin:begin + _CHUNK]
+        total = np.empty(len(part) + 1, np.uint64)
+        total[0] = carry
+        np.cumsum(values[part] * up[:len(part)], out=total[1:])
+        total[1:] *= np.uint64(scale)
+        total[1:] += carry
+        a, b = np.searchsorted(starts, (begin, begin + _CHUNK))
+        out[a:b] -= total[starts[a:b] - begin]
+        shift[a:b] = down[starts[a:b] - begin] * np.uint64(pow(scale, -1, 1 << 64))
+        a, b = np.searchsorted(ends, (begin, begin + _CHUNK))
+        out[a:b] += total[ends[a:b] - begin]
+        carry, scale = total[-1], scale * pow(_BASE, _CHUNK, 1 << 64) & _MASK
+    return mix(out * shift + (ends - starts).astype(np.uint64))
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
