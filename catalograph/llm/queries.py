@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.llm import bpe, language, mixing, quality, secrets, setsketch, sharding, tokens_orc, urls, vectors
+from catalograph.llm import (bpe, language, mixing, phrases, quality, secrets, setsketch, sharding, tokens_orc, urls,
+                             vectors)
 from catalograph.llm.support import new_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +147,33 @@ def quality_query(spark, sf_dir):
 def bpe_query(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.round_trip(documents, vocabulary("byte_bpe_multi_50k.tiktoken")))
+
+
+_PHRASE_SQL = r"""
+WITH texts AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM
+    (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM lists, (VALUES (1), (2), (3), (4)) s(m) WHERE len(w) >= m)),
+counted AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE a >= 30),
+inside AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM
+    (SELECT lang, a, w, s, unnest(range(1, m - s + 2)) AS i FROM frequent, (VALUES (2), (3)) z(s) WHERE m > s))
+    GROUP BY lang, phrase),
+kept AS (SELECT f.* FROM frequent f LEFT JOIN inside i USING (lang, phrase)
+    WHERE m > 1 AND (longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q FROM
+    (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+scored AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a + y.a))::BIGINT AS score
+    FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = p JOIN frequent y ON y.lang = c.lang AND y.phrase = q),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM weakest WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_phrase_collocations", _PHRASE_SQL)
+def collocations(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents").select("text", "lang"))

@@ -87,6 +87,37 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarr
         begin = end
 
 
+def chunks(texts: pa.Array, cut_after: np.ndarray, limit: int = SLICE_BYTES
+           ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(bytes, offsets, row of each part, goes on) of runs of texts; null is empty.
+
+    As ``slices``, but a text longer than the limit comes in several parts, each
+    cut behind a byte that ``cut_after`` (256 flags) allows, and all but the
+    first marked as going on. Where no such byte stands within the limit, the
+    part ends at the next one.
+    """
+    done = 0
+    for data, offsets in slices(texts, limit):
+        n = len(offsets) - 1
+        if n > 1 or len(data) <= limit:
+            yield data, offsets, np.arange(done, done + n), False
+        else:
+            begin = 0
+            while begin < len(data):
+                end = begin + limit
+                if end < len(data):
+                    near = np.flatnonzero(cut_after[data[begin:end]])
+                    if len(near):
+                        end = begin + int(near[-1]) + 1
+                    while not len(near) and end < len(data):
+                        near = np.flatnonzero(cut_after[data[end:end + limit]])
+                        end = end + int(near[0]) + 1 if len(near) else min(end + limit, len(data))
+                part = data[begin:min(end, len(data))]
+                yield part, np.array([0, len(part)]), np.array([done]), begin > 0
+                begin = end
+        done += n
+
+
 _SHIPPED: set[str] = set()
 
 
