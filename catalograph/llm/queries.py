@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.llm import (bpe, language, mixing, phrases, quality, secrets, setsketch, sharding, tokens_orc, urls,
-                             vectors)
+                             variants, vectors)
 from catalograph.llm.support import new_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,34 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang)
 @query("op11_phrase_collocations", _PHRASE_SQL)
 def collocations(spark, sf_dir):
     return phrases.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+_VARIANT_SQL = """
+WITH RECURSIVE steps AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+found AS (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' AS id, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL),
+summed AS (SELECT run, n, 4294967295 - list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) AS h FROM runs, steps),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+    ELSE run END AS word, n FROM summed),
+counted AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM
+    (SELECT *, unnest(range(length(word))) AS i FROM counted)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN counted b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cuts a JOIN counted b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS top, max(other_n) AS top_n FROM near GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * n THEN top END AS form,
+    CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM counted LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM formed UNION ALL
+    SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word
+WHERE NOT EXISTS (SELECT 1 FROM formed g WHERE g.word = c.root AND g.form IS NOT NULL)"""
+
+
+@query("op13_gram_spelling_variants", _VARIANT_SQL)
+def spelling_variants(spark, sf_dir):
+    return variants.group_spellings(table(spark, sf_dir, "documents").select("doc_id", "text"))
