@@ -35,7 +35,7 @@ DEPTH = 4
 MIN_COUNT = 30
 TOP = 2_000
 INSIDE_PERCENT = 80
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 # Bits of the filter of frequent pairs: 16 for each, and at most 16 MB.
 BITS_PER_PAIR = 16
 MAX_FILTER_BITS = 1 << 27
