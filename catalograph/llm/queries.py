@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.llm import (bpe, language, mixing, phrases, quality, secrets, setsketch, sharding, tokens_orc, urls,
-                             variants, vectors)
+from catalograph.llm import (bpe, language, mixing, personal, phrases, quality, secrets, setsketch, sharding,
+                             tokens_orc, urls, variants, vectors)
 from catalograph.llm.support import new_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,6 +179,12 @@ def collocations(spark, sf_dir):
     return phrases.mine(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@query("op12_personal_data_field")
+def personal_data(spark, sf_dir):
+    model = personal.fit(personal.labelled_lines(spark))
+    return personal.digests(personal.find(table(spark, sf_dir, "documents").select("doc_id", "text"), model))
+
+
 _VARIANT_SQL = """
 WITH RECURSIVE steps AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
     lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
