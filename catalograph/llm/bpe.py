@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from catalograph.llm.pieces import batches, byte_characters, gather, piece_encoder, tokenizer_of
 from catalograph.llm.support import text_column, unused
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 @functools.cache

@@ -21,7 +21,9 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MAX_CACHED = 1_000_000
+# The pieces that a worker keeps for one vocabulary, by the bytes they take with their entries.
+CACHE_BYTES = 64 << 20
+_ENTRY_BYTES = 250
 # A comma or a full stop after an ASCII letter is always a token of its own.
 _TAILS = (ord(","), ord("."))
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -89,7 +91,7 @@ def strings(values: pa.Array) -> list[str]:
 
 
 class _Known:
-    """Pieces seen so far, with their ids in one array; bounded by ``MAX_CACHED``."""
+    """Pieces seen so far, with their ids in one array; over ``CACHE_BYTES`` they are forgotten before the next call."""
 
     def __init__(self, tokenizer, prefix: str):
         self.tokenizer, self.prefix = tokenizer, prefix
@@ -100,6 +102,7 @@ class _Known:
 
     def clear(self):
         self.row: dict[str, int] = {}
+        self.bytes = 0
         self.ids = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
@@ -122,11 +125,12 @@ class _Known:
 
     def rows(self, pieces: list[str]) -> np.ndarray:
         """Row of each distinct piece; new ones are encoded together."""
-        if len(self.row) + len(pieces) > MAX_CACHED:
+        if self.bytes > CACHE_BYTES:
             self.clear()
         known = self.row
         new = [p for p in pieces if p not in known]
         if new:
+            self.bytes += sum(map(len, new)) + _ENTRY_BYTES * len(new)
             odd = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in new), bool, len(new))
             ids, lengths = self._odd(new) if odd.any() or not self.prefix else self._joined(new)
             base = len(known)

@@ -393,5 +393,6 @@ def keep_one(documents: DataFrame) -> DataFrame:
     smaller id. Rows that repeat a kept id stay, as do null ids.
     """
     judged = near_duplicates(documents)
-    dropped = judged.where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return documents.join(dropped, F.col("doc_id").cast("long") == F.col("__dropped"), "left_anti")
+    name = unused(documents, "__dropped")
+    dropped = judged.where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(dropped, F.col("doc_id").cast("long") == F.col(name), "left_anti")

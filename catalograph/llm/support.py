@@ -121,11 +121,24 @@ def chunks(texts: pa.Array, cut_after: np.ndarray, limit: int = SLICE_BYTES
 _SHIPPED: set[str] = set()
 
 
+# Rows and bytes of an Arrow batch of texts, where the session sets none.
+_ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000,
+                 "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to the size of texts, unless it has set them itself."""
+    for name, value in _ARROW_LIMITS.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, str(value))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the workers this package through Spark's file server, once for each application.
 
     Needed where their PYTHONPATH lacks it, as in a session that an outside script started.
     """
+    bound_batches(spark)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         root = Path(__file__).resolve().parents[2]
