@@ -40,7 +40,7 @@ SHORTEST, LONGEST = 2, 5
 FREQUENT = 50
 DICTIONARY = 20_000
 # A list of more words is split by the text around the edit, in at most so many parts.
-LIST = 64
+LIST = 512
 PARTS = 64
 # Longer words are verified by their common beginning and end.
 SHORT = 255
@@ -239,22 +239,27 @@ def near_pairs(words: DataFrame, frequent: int = FREQUENT, list_limit: int = LIS
         .select("word", "n", F.explode("grams").alias("gram"))
         .select("word", "n", "gram", sides.alias("s")).where(F.col("s.length") >= min_length)
         .select("word", "n", "s.length", "s.side", F.xxhash64("gram", "s.length").alias("key")), "grams")
-    long_lists = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_limit)
-                  .select("key", F.lit(True).alias("long")))
-    split = F.when(F.col("long"), F.transform(_around(F.col("word"), F.col("length")), lambda k: F.xxhash64(k, F.col("key"))))
-    placed = written(rows.join(long_lists, "key", "left")
-                     .select("word", "n", "side", F.explode(F.coalesce(split, F.array("key"))).alias("key")), "lists")
-    a = placed.where("side = 0").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
-    b = placed.select("key", "side", F.col("word").alias("b"), F.col("n").alias("n_b"))
+    long_lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_limit).select("key")
+    a = rows.where("side = 0").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
+    b = rows.select("key", "side", F.col("word").alias("b"), F.col("n").alias("n_b"))
+
+    def split(side: DataFrame, word: str, length: Column) -> DataFrame:
+        around = F.transform(_around(F.col(word), length), lambda k: F.xxhash64(k, F.col("key")))
+        return side.join(long_lists, "key", "left_semi").withColumn("key", F.explode(around))
 
     def met(low: int, high: int, one_edit: Column) -> DataFrame:
         """The pairs whose first word has ``low`` to ``high`` characters; the second has at most one more."""
-        return (a.where(F.length("a").between(low, high)).join(b.where(F.length("b").between(low, high + 1)), "key")
-                .where((F.col("side") == 1) | (F.col("a") < F.col("b"))).where(one_edit).select("a", "b", "n_a", "n_b"))
+        first, second = a.where(F.length("a").between(low, high)), b.where(F.length("b").between(low, high + 1))
+        pairs = first.join(long_lists, "key", "left_anti").join(second, "key").select("a", "b", "n_a", "n_b", "side").union(
+            split(first, "a", F.length("a")).join(split(second, "b", F.length("b") - F.col("side")), "key")
+            .select("a", "b", "n_a", "n_b", "side"))
+        return pairs.where((F.col("side") == 1) | (F.col("a") < F.col("b"))).where(one_edit).select("a", "b", "n_a", "n_b")
 
+    found = met(0, SHORT, F.levenshtein("a", "b", 1) == 1)
     # the built-in distance takes a time that grows with the square of the length
-    return (met(0, SHORT, F.levenshtein("a", "b", 1) == 1)
-            .union(met(SHORT + 1, (1 << 31) - 2, one_apart(F.col("a"), F.col("b")))).distinct())
+    if not rows.where(F.length("word") > SHORT).isEmpty():
+        found = found.union(met(SHORT + 1, (1 << 31) - 2, one_apart(F.col("a"), F.col("b"))))
+    return found.distinct()
 
 
 def one_apart(a: Column, b: Column) -> Column:
