@@ -40,7 +40,7 @@ SHORTEST, LONGEST = 2, 5
 FREQUENT = 50
 DICTIONARY = 20_000
 # A list of more words is split by the text around the edit, in at most so many parts.
-LIST = 512
+LIST = 1_024
 PARTS = 64
 # Longer words are verified by their common beginning and end.
 SHORT = 255
@@ -215,7 +215,7 @@ def _around(word: Column, length: Column) -> Column:
     parts = F.least(length, F.lit(PARTS))
     begin = lambda k: F.floor(k * length / parts).cast("int")
     return F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.xxhash64(
-        k, F.substring(word, F.lit(1), begin(k)), F.right(word, length - begin(k + 1))))
+        length, k, F.substring(word, F.lit(1), begin(k)), F.right(word, length - begin(k + 1))))
 
 
 def near_pairs(words: DataFrame, frequent: int = FREQUENT, list_limit: int = LIST, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -238,14 +238,16 @@ def near_pairs(words: DataFrame, frequent: int = FREQUENT, list_limit: int = LIS
         words.select("word", "n").mapInArrow(run, "word string, n long, grams array<string>")
         .select("word", "n", F.explode("grams").alias("gram"))
         .select("word", "n", "gram", sides.alias("s")).where(F.col("s.length") >= min_length)
-        .select("word", "n", "s.length", "s.side", F.xxhash64("gram", "s.length").alias("key")), "grams")
+        .select("word", "n", "s.side", F.xxhash64("gram", "s.length").alias("key")), "grams")
     long_lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_limit).select("key")
     a = rows.where("side = 0").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
     b = rows.select("key", "side", F.col("word").alias("b"), F.col("n").alias("n_b"))
 
     def split(side: DataFrame, word: str, length: Column) -> DataFrame:
-        around = F.transform(_around(F.col(word), length), lambda k: F.xxhash64(k, F.col("key")))
-        return side.join(long_lists, "key", "left_semi").withColumn("key", F.explode(around))
+        """Each word of a long list, once whatever the number of its lists, by what surrounds the edit."""
+        names = [c for c in side.columns if c != "key"]
+        return (side.join(long_lists, "key", "left_semi").select(*names).distinct()
+                .select(*names, F.explode(_around(F.col(word), length)).alias("key")))
 
     def met(low: int, high: int, one_edit: Column) -> DataFrame:
         """The pairs whose first word has ``low`` to ``high`` characters; the second has at most one more."""

@@ -76,7 +76,7 @@ def test_counts_and_noise(spark, rows):
     assert {r["word"]: r["n"] for r in found} == plain_words(rows) and len(found) == len(plain_words(rows))
 
 
-@pytest.mark.parametrize("frequent, list_limit", [(3, 2), (50, 512), (1, 5)])
+@pytest.mark.parametrize("frequent, list_limit", [(3, 2), (50, 1_024), (1, 5)])
 def test_equals_comparing_all_words(spark, rows, frequent, list_limit):
     count = plain_words(rows)
     words = spark.createDataFrame(list(count.items()), "word string, n long")
