@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalograph.functions.small import rule_frame
 from catalograph.operators.contracts import pattern_rules
+from catalograph.operators.globs import as_like, matching_names
 
 # Privacy levels, and authored relationship types with the
 # governed type and the cardinality of source and target.
@@ -281,32 +282,56 @@ def match_patterns(attributes: DataFrame, patterns: DataFrame | None = None) ->
     }) if patterns is None else _scored(attributes, patterns)
 
 
-def _like(glob: Column) -> Column:
-    """A glob (``*``, ``?``) in lower case as a LIKE pattern; its own ``%``, ``_`` and backslashes are literal."""
-    literal = F.regexp_replace(F.lower(glob), r"([%_\\])", r"\\$1")
-    return F.translate(literal, "*?", "%_")
+def fitting(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Each attribute with each pattern whose object and attribute globs both fit, without regard to case.
 
+    Object globs meet the distinct table names through ``globs.matching_names``;
+    an attribute glob is tried only in the tables that its object glob fits.
+    """
+    rules = patterns.withColumns({"object_glob": F.lower("source_object_pattern"), "attribute_like": as_like(F.col("source_attribute_pattern"))})
+    tables = attributes.select(F.lower("source_table").alias("name")).distinct()
+    opened = matching_names(tables, rules.select(F.col("object_glob").alias("pattern")).distinct())
+    ruled = opened.join(rules, opened["pattern"] == rules["object_glob"]).drop("pattern")
+    return (attributes.join(ruled, F.lower("source_table") == F.col("name")).where(F.expr("lower(source_column) LIKE attribute_like"))
+            .drop("name", "object_glob", "attribute_like"))
 
-def _scored(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Best pattern per attribute, by lower-case object and attribute names with globs.
 
-    Globs run on distinct names: pairs of name and pattern are few where the
-    plain names join by equality, and each name keeps its best score alone.
-    """
-    rules = patterns.where("pattern_type = 'ATTRIBUTE'").select(
-        F.lower("source_object_pattern").alias("object_key"), F.lower("source_attribute_pattern").alias("attribute_key"),
-        _like(F.col("source_object_pattern")).alias("object_like"), _like(F.col("source_attribute_pattern")).alias("attribute_like"),
-        "expected_confidence")
-    wild = F.col("object_key").rlike("[*?]")
-    t = F.lower("source_table")
-    fits = F.expr("lower(source_column) LIKE attribute_like")
-    plain = attributes.join(rules.where(~wild), (t == F.col("object_key")) & fits).select(
-        "source_table", "source_column", "expected_confidence")
-    tables = attributes.select(t.alias("object_key")).distinct()
-    opened = tables.join(rules.where(wild).drop("object_key"), F.expr("object_key LIKE object_like"))
-    globbed = attributes.join(opened, (t == F.col("object_key")) & fits).select(
-        "source_table", "source_column", "expected_confidence")
-    best = plain.union(globbed).groupBy("source_table", "source_column").agg(
-        F.max("expected_confidence").alias("cots_match_strength"))
+def _scored(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Best pattern per attribute, by object and attribute names with globs."""
+    rules = patterns.where("pattern_type = 'ATTRIBUTE'").select("source_object_pattern", "source_attribute_pattern", "expected_confidence")
+    best = (fitting(attributes.select("source_table", "source_column"), rules).groupBy("source_table", "source_column")
+            .agg(F.max("expected_confidence").alias("cots_match_strength")))
     return attributes.join(best, ["source_table", "source_column"], "left").withColumn(
         "cots_availability", F.when(F.col("cots_match_strength").isNull(), "NOT_AVAILABLE").otherwise("AVAILABLE"))
+
+
+def assess_structure(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+    """How far each table shows the structure that a pack expects of it.
+
+    ``patterns``: pattern_id, pack_id, pattern_type (ATTRIBUTE or EXTENSION_MARKER), source_object_pattern,
+    source_attribute_pattern, expected_confidence, required. A table is compared with every pack
+    that has an object pattern for it. All required attributes there: MATCHED; some of them, or
+    an extension marker: LIKELY_CUSTOM_EXTENSION; else UNRESOLVED. ``pattern_id`` is the hit of
+    highest confidence, smallest id first; nothing is approved by it.
+    """
+    tables = attributes.select("source_table").distinct()
+    opened = matching_names(tables.select(F.lower("source_table").alias("name")).distinct(),
+                            patterns.select(F.lower("source_object_pattern").alias("pattern")).distinct())
+    rules = patterns.withColumn("object_glob", F.lower("source_object_pattern"))
+    expected = opened.join(rules, opened["pattern"] == rules["object_glob"]).groupBy("name", "pack_id").agg(
+        F.count_distinct(F.when(F.col("required") & (F.col("pattern_type") == "ATTRIBUTE"), F.col("pattern_id"))).alias("required_attributes"))
+    marker = F.col("pattern_type") == "EXTENSION_MARKER"
+    hits = fitting(attributes.select("source_table", "source_column"), patterns).groupBy("source_table", "pack_id").agg(
+        F.count_distinct(F.when(F.col("required") & ~marker, F.col("pattern_id"))).alias("found_attributes"),
+        F.count_distinct(F.when(marker, F.col("source_column"))).alias("extension_columns"),
+        F.min(F.when(~marker, F.struct((-F.col("expected_confidence")).alias("c"), F.col("pattern_id").alias("p")))).alias("best"))
+    found = F.coalesce("found_attributes", F.lit(0))
+    rows = (tables.withColumn("name", F.lower("source_table")).join(expected, "name").drop("name")
+            .join(hits, ["source_table", "pack_id"], "left"))
+    return rows.select(
+        "source_table", "pack_id", F.col("best.p").alias("pattern_id"), "required_attributes", found.alias("found_attributes"),
+        F.coalesce("extension_columns", F.lit(0)).alias("extension_columns"),
+        F.when(F.col("required_attributes") > 0, found / F.col("required_attributes")).alias("attribute_coverage"),
+        F.when((F.col("required_attributes") > 0) & (found == F.col("required_attributes")), "MATCHED")
+        .when((found > 0) | (F.coalesce("extension_columns", F.lit(0)) > 0), "LIKELY_CUSTOM_EXTENSION")
+        .otherwise("UNRESOLVED").alias("match_outcome"), F.lit("PROPOSED").alias("approval_state"))

@@ -1,5 +1,5 @@
 """Queries over the given tables, each with the SQL that must give the same rows."""
 
-from checks import governance, integrity, names_and_keys, rows
+from checks import evidence, governance, integrity, names_and_keys, rows
 
-MODULES = (rows, names_and_keys, governance, integrity)
+MODULES = (rows, evidence, names_and_keys, governance, integrity)

@@ -12,7 +12,7 @@ from catalograph.plans import build
 from catalograph.sources.packs import load_pack, pack_registry
 from checks.base import (CATALOGUE_SQL, CONVENTION_SQL, HYPOTHESES_SQL, NAMED_SQL, PARTS_SQL, PRIVACY_SQL, RUN,
                          catalogue, concepts, registry, table, values, written)
-from checks.observed import (FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, links, obs_query, observations,
+from checks.observed import (COUNTED_SQL, FAMILY_SQL, PAIRS_SQL, REFERENCES_SQL, ROLES_SQL, STRENGTH_SQL, links, obs_query, observations,
                              observations_plan, members, members_sql, roles)
 
 QUERIES, ORACLES, query = registry()
@@ -207,7 +207,7 @@ def relationship_evidence(spark, sf_dir):
     return found.where("relationship_evidence IS NOT NULL")
 
 
-@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {PAIRS_SQL} SELECT r.source_table, r.source_column, "
+@query(f"WITH {CATALOGUE_SQL}, {ROLES_SQL}, {COUNTED_SQL} SELECT r.source_table, r.source_column, "
        "coalesce(candidate_strength, CASE WHEN signature IS NOT NULL THEN 0.5::DOUBLE ELSE 0.4::DOUBLE END) AS relationship_strength, "
        "CASE WHEN candidate_conflict THEN 'The types of the two columns do not fit together.' END AS relationship_contradictions "
        "FROM roles r LEFT JOIN strengths USING (source_table, source_column)")

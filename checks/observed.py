@@ -93,6 +93,16 @@ evidence AS (SELECT source_table, source_column, 'Inferred relationship: ' || so
 strengths AS (SELECT from_table AS source_table, from_column AS source_column, max(confidence_score) AS candidate_strength,
   bool_or(NOT type_compatible) AS candidate_conflict FROM scoredpairs GROUP BY ALL)"""
 
+# mk -> strengths from the primaries of each key counted by type and name: no pair is written out
+COUNTED_SQL = KEYS_SQL + """,
+targets AS (SELECT match_key, physical_type, signature, low, min(source_table) AS first, max(source_table) AS last FROM mk
+  WHERE key_role = 'PRIMARY_KEY_CANDIDATE' GROUP BY ALL),
+strengths AS (SELECT f.source_table, f.source_column, max(CASE WHEN f.physical_type <> t.physical_type THEN 0.55::DOUBLE
+  WHEN f.low = t.low THEN 0.9::DOUBLE WHEN f.signature = t.signature THEN 0.85::DOUBLE ELSE 0.55::DOUBLE END) AS candidate_strength,
+  bool_or(f.physical_type <> t.physical_type) AS candidate_conflict FROM mk f JOIN targets t USING (match_key)
+  WHERE f.key_role = 'FOREIGN_KEY_CANDIDATE' AND (t.first <> f.source_table OR t.last <> f.source_table)
+  AND (starts_with(match_key, 'S:') OR f.signature <> t.signature) GROUP BY ALL)"""
+
 # mk -> members: both sides of every key that links them; with another condition only of some links
 def members_sql(also: str = "true") -> str:
     return KEYS_SQL + f""",

@@ -176,19 +176,6 @@ def profile_evidence_rows(spark, sf_dir):
                              .withColumn("source_table", F.lit(t)), with_range=True) for t, cols in _PROFILED.items()])
 
 
-@query(" UNION ALL ".join(
-    f"SELECT '{t}' AS source_table, '{c}' AS source_column, count(DISTINCT {c}) AS distinct_count, true AS estimate_ok FROM {t}"
-    for t, c in (("lineitem", "l_orderkey"), ("lineitem", "l_returnflag"), ("events", "user_id"), ("documents", "doc_id"))))
-def profile_distinct_estimate(spark, sf_dir):
-    """B2 default: the sketch estimate lies within four standard errors of the exact count."""
-    out = []
-    for t, c in (("lineitem", "l_orderkey"), ("lineitem", "l_returnflag"), ("events", "user_id"), ("documents", "doc_id")):
-        row = table(spark, sf_dir, t).agg(F.count_distinct(c).alias("distinct_count"), F.approx_count_distinct(c).alias("e"))
-        out.append(row.select(F.lit(t).alias("source_table"), F.lit(c).alias("source_column"), "distinct_count",
-                              (F.abs(F.col("e") - F.col("distinct_count")) <= F.col("distinct_count") * 0.2).alias("estimate_ok")))
-    return _union(out)
-
-
 _CONTROLLED = {"orders": ["o_orderpriority", "o_orderstatus", "o_custkey"], "events": ["event_type", "user_id"],
                "lineitem": ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"], "documents": ["lang", "source"],
                "customer": ["c_mktsegment", "c_nationkey"]}
@@ -204,14 +191,6 @@ def profile_controlled_values(spark, sf_dir):
                    for t, cols in _CONTROLLED.items()])
 
 
-@query(" UNION ALL ".join(
-    f"SELECT * FROM (SELECT '{c}' AS source_column, {c}::VARCHAR AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c}::VARCHAR)::INTEGER AS position "
-    f"FROM lineitem GROUP BY {c}) WHERE position <= 12" for c in ("l_partkey", "l_suppkey", "l_returnflag")))
-def profile_frequent_items(spark, sf_dir):
-    """The most frequent values of each column."""
-    return profile.frequent_items(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey", "l_returnflag"], 12)
-
-
 _METRICS = """SELECT o_custkey AS source_table, 'o_orderpriority' AS source_column, count(*) AS row_count,
  count(*) - count(nullif(o_orderpriority, '5-LOW')) AS null_count, count(DISTINCT nullif(o_orderpriority, '5-LOW')) AS d,
  min(nullif(o_orderpriority, '5-LOW')) AS lo, max(nullif(o_orderpriority, '5-LOW')) AS hi,

@@ -19,7 +19,8 @@ def _plan(frame):
 
 
 @pytest.mark.parametrize("name", ["name_match", "privacy_classify", "key_roles", "relationship_candidates",
-                                  "profile_statistics", "review_queue", "publish_draft", "doc_responses", "schema_changes"])
+                                  "profile_statistics", "review_queue", "publish_draft", "doc_responses", "schema_changes",
+                                  "structure_match", "structure_assessment", "value_inclusions", "version_changes"])
 def test_plans_run_in_the_jvm_without_pair_joins(spark, sf_dir, name):
     plan = _plan(queries()[name](spark, sf_dir))
     for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
