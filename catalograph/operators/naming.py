@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalograph.functions.skew import spread
 from catalograph.functions.text import name_parts, naming_convention, title_case
+from catalograph.operators.asof import asof_join
 from catalograph.sources.packs import token_options, token_pattern
 
 LIMIT_STATUS = "TOKEN_HYPOTHESIS_LIMIT"
@@ -41,6 +42,44 @@ def name_segments(names: DataFrame, pack: dict, column: str = "source_column") -
     return names.withColumn("segments", F.flatten(F.transform(name_parts(F.col(column)), with_options)))
 
 
+def dictionary_segments(parts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """part, tokens: each distinct ``part`` cut by a token table (token, upper case) of any size.
+
+    Every piece of a part looks itself up among the tokens, by an equi-join; the
+    longest token at each place is kept, and the part is walked from its
+    start. A part that this does not consume stays whole, as in ``name_segments``.
+    """
+    distinct = parts.select(F.upper("part").alias("part")).distinct().where("part <> ''")
+    known = tokens.select(F.upper("token").alias("token")).distinct().where("token <> ''")
+    longest = known.agg(F.max(F.length("token"))).first()[0] or 0
+    size = F.length("part")
+    pieces = distinct.select("part", F.explode(F.sequence(F.lit(1), size)).alias("at")).select(
+        "part", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), size - F.col("at") + 1))).alias("length"))
+    found = (pieces.withColumn("token", F.expr("substring(part, at, length)")).join(known, "token")
+             .groupBy("part", "at").agg(F.max("length").alias("length")))
+    ways = found.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("at", "length"))).alias("ways"))
+    none = F.array().cast("array<string>")
+
+    def step(state: Column, at: Column) -> Column:
+        length = F.try_element_at("ways", at)
+        taken = (state["next"] == at) & length.isNotNull()
+        return F.struct(F.when(taken, at + length).otherwise(state["next"]).alias("next"),
+                        F.when(taken, F.concat(state["tokens"], F.array(F.expr("part").substr(at, length)))).otherwise(state["tokens"]).alias("tokens"))
+
+    walked = F.aggregate(F.sequence(F.lit(1), size), F.struct(F.lit(1).alias("next"), none.alias("tokens")), step)
+    return (distinct.join(ways, "part", "left").withColumn("walk", F.when(F.col("ways").isNotNull(), walked))
+            .select("part", F.when(F.col("walk.next") == size + 1, F.col("walk.tokens")).otherwise(F.array("part")).alias("tokens")))
+
+
+def name_tokens(names: DataFrame, tokens: DataFrame, column: str = "source_column") -> DataFrame:
+    """``column`` and the tokens of each distinct name, its parts cut by ``dictionary_segments``."""
+    parts = names.select(column).distinct().select(column, F.posexplode(name_parts(F.col(column))).alias("place", "raw")).withColumn(
+        "part", F.upper("raw"))
+    cut = dictionary_segments(parts, tokens)
+    return parts.join(cut, "part").groupBy(column).agg(F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct("place", "tokens"))), lambda p: p["tokens"])).alias("tokens"))
+
+
 def name_hypotheses(names: DataFrame, pack: dict, column: str = "source_column") -> DataFrame:
     """Add the naming convention and every expansion of the name, in rule order.
 
@@ -228,41 +267,51 @@ def resolve_packs(requests: DataFrame, registry: DataFrame) -> DataFrame:
 
     Exact source system, then exact convention, then priority, then the newest
     effective date up to ``as_of``. Without an applicable pack the status is
-    NO_PACK, with several equal ones AMBIGUOUS. Requests are made distinct
-    first, and each is matched with registry rows only.
+    NO_PACK, with several equal ones AMBIGUOUS.
+
+    Packs meet the distinct (capability, system, convention) by equi-joins on
+    their lists' entries. The best offer so far is a running maximum over each
+    combination's dates, and requests take it by an as-of join; a request without a
+    date takes the last one.
     """
-    keys = ["capability", "source_system", "naming_convention", "as_of"]
-    asked = requests.select(*keys).distinct()
+    names = ["capability", "source_system", "naming_convention"]
+    asked = requests.select(*names, F.to_date("as_of").alias("as_of")).distinct()
+    combos = asked.select(*names).distinct()
     packs = registry.select(
-        F.col("capability").alias("pack_capability"), "pack_id", "pack_version", "priority", "effective_date",
-        F.transform("source_systems", lambda s: F.lower(s)).alias("systems"),
-        F.transform("naming_conventions", lambda s: F.lower(s)).alias("conventions"))
-    system, convention = F.lower("source_system"), F.lower("naming_convention")
-    source_exact = F.array_contains("systems", system) & (system != "*")
-    convention_exact = F.coalesce(F.array_contains("conventions", convention), F.lit(False))
-    applies = (
-        (F.col("capability") == F.col("pack_capability"))
-        & (F.array_contains("systems", system) | F.array_contains("systems", F.lit("*")))
-        & (F.col("naming_convention").isNull() | convention_exact
-           | F.array_contains("conventions", F.lit("*")))
-        & (F.col("as_of").isNull() | (F.col("effective_date") <= F.col("as_of")))
-    )
-    score = F.struct(source_exact.cast("int").alias("s"), convention_exact.cast("int").alias("c"),
+        "capability", "pack_id", "pack_version", "priority", F.to_date("effective_date").alias("effective_date"),
+        F.explode(F.array_distinct(F.transform("source_systems", lambda s: F.lower(s)))).alias("system"),
+        F.array_distinct(F.transform("naming_conventions", lambda s: F.lower(s))).alias("conventions"))
+    # a request without a convention takes any pack of its system
+    packs = packs.select("*", F.explode(F.concat("conventions", F.array(F.lit(None).cast("string")))).alias("convention")).drop("conventions")
+    wanted = combos.select(
+        *names, F.explode(F.array_distinct(F.array(F.lower("source_system"), F.lit("*")))).alias("system"),
+        F.when(F.col("naming_convention").isNull(), F.array(F.lit(None).cast("string"))).otherwise(
+            F.array_distinct(F.array(F.lower("naming_convention"), F.lit("*")))).alias("conventions"))
+    wanted = wanted.select(*names, "system", F.explode("conventions").alias("convention"))
+    meets = ((wanted["capability"] == packs["capability"]) & (wanted["system"] == packs["system"])
+             & wanted["convention"].eqNullSafe(packs["convention"]))
+    system, convention = F.lower(wanted["source_system"]), F.lower(wanted["naming_convention"])
+    score = F.struct(((packs["system"] == system) & (system != "*")).cast("int").alias("s"),
+                     F.coalesce(packs["convention"] == convention, F.lit(False)).cast("int").alias("c"),
                      F.col("priority").alias("p"), F.col("effective_date").alias("d"))
-    offers = (asked.join(packs, applies, "left").groupBy(*keys).agg(F.collect_list(
-        F.when(F.col("pack_id").isNotNull(), F.struct(score.alias("score"), "pack_id", "pack_version"))
-    ).alias("offers")))
-    best = F.array_max(F.transform("offers", lambda o: o["score"]))
-    first = offers.withColumn("best", F.filter("offers", lambda o: o["score"] == best))
-    chosen = F.get("best", F.lit(0))
-    unique = F.size("best") == 1
-    return first.select(
-        *keys,
-        F.when(F.size("best") == 0, "NO_PACK").when(unique, "RESOLVED").otherwise("AMBIGUOUS").alias("status"),
-        F.when(unique, chosen["pack_id"]).alias("pack_id"),
-        F.when(unique, chosen["pack_version"]).alias("pack_version"),
-        F.when(F.size("best") > 1, F.array_join(F.array_sort(F.transform("best", lambda o: o["pack_id"])), ","))
-        .alias("tied_packs"))
+    offers = wanted.join(packs, meets).select(*[wanted[c] for c in names], "pack_id", "pack_version", "effective_date", score.alias("score"))
+    # a pack can meet a request by several entries: its best one counts
+    offers = offers.groupBy(*names, "pack_id", "pack_version", "effective_date").agg(F.max("score").alias("score"))
+    equal = offers.groupBy(*names, "effective_date", "score").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("pack_id", "pack_version")).alias("first"),
+        F.array_join(F.array_sort(F.collect_list("pack_id")), ",").alias("tied"))
+    top = equal.groupBy(*names, "effective_date").agg(F.max(F.struct("score", "n", "first", "tied")).alias("best"))
+    running = Window.partitionBy(*names).orderBy("effective_date").rowsBetween(Window.unboundedPreceding, 0)
+    steps = top.withColumn("best", F.max("best").over(running))
+    dated = asof_join(asked.where("as_of IS NOT NULL"), steps, names, "as_of", "effective_date", ["best"])
+    last = steps.groupBy(*names).agg(F.max_by("best", "effective_date").alias("best"))
+    undated = asked.where("as_of IS NULL").alias("a").join(last.alias("l"), [F.col(f"a.{c}").eqNullSafe(F.col(f"l.{c}")) for c in names], "left")
+    found = dated.select(*names, "as_of", "best").unionByName(undated.select(*[f"a.{c}" for c in names], "a.as_of", "l.best"))
+    unique, several = F.col("best.n") == 1, F.col("best.n") > 1
+    return found.select(
+        *names, "as_of", F.when(F.col("best").isNull(), "NO_PACK").when(unique, "RESOLVED").otherwise("AMBIGUOUS").alias("status"),
+        F.when(unique, F.col("best.first.pack_id")).alias("pack_id"), F.when(unique, F.col("best.first.pack_version")).alias("pack_version"),
+        F.when(several, F.col("best.tied")).alias("tied_packs"))
 
 
 def provenance_references(pack: dict, rule_ids: Column, source_system: str = "*",

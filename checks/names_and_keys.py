@@ -50,6 +50,14 @@ def name_segments(spark, sf_dir):
     return cut.select("source_column", F.array_join("segments.token", "|").alias("tokens"))
 
 
+@query(f"WITH RECURSIVE {_WORDS}, {HYPOTHESES_SQL} SELECT source_column, string_agg(segs[i].t, '|' ORDER BY i) AS tokens "
+       "FROM spot GROUP BY source_column")
+def name_tokens(spark, sf_dir):
+    """N3 by a join with the token table, for token tables of any size."""
+    tokens = spark.createDataFrame([(r["token"],) for r in load_pack("naming")["token_rules"]], "token string")
+    return naming.name_tokens(_words(spark, sf_dir), tokens).select("source_column", F.array_join("tokens", "|").alias("tokens"))
+
+
 @query(f"WITH RECURSIVE {CATALOGUE_SQL}, {_NAMES}, {HYPOTHESES_SQL} "
        "SELECT source_column, expanded, rules, CASE WHEN over THEN 'TOKEN_HYPOTHESIS_LIMIT' ELSE 'OK' END AS name_status, "
        "row_number() OVER (PARTITION BY source_column ORDER BY path)::INTEGER - 1 AS position FROM hyp")
