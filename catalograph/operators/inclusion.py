@@ -13,10 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.operators.profile import quoted
+from catalograph.operators.profile import quoted, value_text
 
-# Values longer than this stand by their SHA-256, so long texts are not shuffled.
-LONG_VALUE = 64
 _BITS = 63
 
 
@@ -44,8 +42,7 @@ def comparable_columns(tables: dict[str, DataFrame], alone: bool = False) -> lis
 
 
 def _cell(column: Column, family: str) -> Column:
-    text = column.cast("double").cast("string") if family == "float" else column.cast("string")
-    return F.when(F.length(text) > LONG_VALUE, F.sha2(text.cast("binary"), 256)).otherwise(text) if family == "text" else text
+    return value_text(column.cast("double"), T.DoubleType()) if family == "float" else value_text(column, T.StringType())
 
 
 def column_sets(tables: dict[str, DataFrame], columns: list[tuple[str, str, str]]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.operators.profile import quoted
+from catalograph.operators.profile import plain_zero, quoted
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -39,7 +39,7 @@ def partition_states(df: DataFrame, columns: list[str], partition: Column) -> Da
     parts, rows = [F.count(F.lit(1)).alias("n")], []
     for i, name in enumerate(columns):
         c, kind = quoted(name), _kind(kinds[name])
-        typed = c.cast("long") if kind == "long" else c.cast("double") if kind == "double" else c.cast("string")
+        typed = c.cast("long") if kind == "long" else plain_zero(c.cast("double"), T.DoubleType()) if kind == "double" else c.cast("string")
         sketch = typed.cast("string") if kind == "double" else typed
         parts += [F.count(c).alias(f"c{i}"), F.hll_sketch_agg(sketch, SLOTS).alias(f"d{i}"),
                   F.min(typed).alias(f"lo{i}"), F.max(typed).alias(f"hi{i}")]

@@ -92,9 +92,9 @@ def route_issues(issues: DataFrame, keys: list[str]) -> DataFrame:
     role = (F.when(F.col("private"), "PRIVACY_STEWARD")
             .when(F.col("architect_issue").isNotNull(), "DATA_ARCHITECT")
             .when(F.col("first_issue").isNotNull(), "DOMAIN_STEWARD"))
-    reason = (F.when(F.col("private"), "privacy or prohibited evidence requires review")
+    reason = (F.when(F.col("private"), "privacy or prohibited evidence, for the privacy steward to see")
               .when(F.col("architect_issue").isNotNull(), words("architect_issue"))
-              .when(F.col("incomplete"), "incomplete source values require review")
+              .when(F.col("incomplete"), "incomplete values, for a steward to fill or explain")
               .otherwise(words("first_issue")))
     return picked.select(*keys, role.alias("reviewer_role"), reason.alias("review_reason"))
 

@@ -268,17 +268,14 @@ def _predictions(spark, sf_dir):
     return E.predictions(observations(spark, sf_dir), links(spark, sf_dir))
 
 
-_LABELLED = "source_table LIKE 'stg_ord%' OR (source_table LIKE 'src_cust%' AND (ordinal_position = 2 OR source_column = 'id'))"
-
-
 def _labels(spark, sf_dir):
-    """Expected values for every order column and the customers' nation keys and ids: the position says what must be found.
+    """Expected values for every attribute: the position says what must be found.
 
     The ids link to every part but only two are expected, so they must not match.
     """
     p = F.col("ordinal_position")
     none = F.lit(None).cast("string")
-    rows = catalogue(spark, sf_dir).where(_LABELLED)
+    rows = catalogue(spark, sf_dir)
     cust = F.regexp_extract(F.lower("source_column"), r"cust(\d+)", 1)
     return rows.select(
         F.concat_ws(".", "source_table", p.cast("string")).alias("record_id"), "source_table", "source_column",
@@ -297,7 +294,7 @@ _EVAL = f"""pred AS (SELECT *, starts_with(coalesce(open_question, ''), 'Which o
   coalesce(link_count, 0) AS target_count FROM obs LEFT JOIN links USING (source_table, source_column)),
 lab AS (SELECT *, regexp_extract(lower(source_column), 'cust(\\d+)', 1) AS ck, CASE WHEN source_column = 'id' THEN ['part1.id', 'part2.id']
   WHEN starts_with(source_column, 'nation') THEN ['ref_' || regexp_extract(source_column, '(nation\\d+)', 1) || '.' || source_column]
-  WHEN ordinal_position = 2 THEN ['src_cust' || ck || '.cust' || ck || '_id'] ELSE [] END AS targets FROM attrs WHERE {_LABELLED}),
+  WHEN ordinal_position = 2 THEN ['src_cust' || ck || '.cust' || ck || '_id'] ELSE [] END AS targets FROM attrs),
 hit AS (SELECT l.source_table, l.source_column, count(*) AS hits FROM lab l JOIN scoredpairs s ON s.from_table = l.source_table
   AND s.from_column = l.source_column WHERE list_contains(l.targets, s.to_table || '.' || s.to_column) GROUP BY ALL),
 cmp AS (SELECT l.source_table || '.' || l.ordinal_position AS record_id, source_table, source_column, naming_contradicted, true AS classified,
