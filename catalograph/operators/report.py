@@ -320,16 +320,25 @@ def publication_overview(published: DataFrame, source_system: str, run_id: str,
 
 
 def reviewer_metrics(queue: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Per reviewer role: open and decided items, override rate, median turnaround hours."""
+    """Per reviewer role: open and decided items, override rate, median turnaround hours, precision and recall of mappings.
+
+    A proposed concept that was approved is a correct mapping. Precision is their share among
+    finally decided proposals of a concept, recall their share among the attributes for
+    which a decision left a mapping: the approved ones and those that the reviewer changed.
+    """
     newest = latest_decisions(decisions)
-    joined = queue.select("queue_item_id", "recommended_reviewer_role", "queued_at").join(newest, "queue_item_id", "left")
+    joined = queue.select("queue_item_id", "recommended_reviewer_role", "queued_at",
+                          F.col("ontology_concept_id").isNotNull().alias("mapped")).join(newest, "queue_item_id", "left")
     hours = (F.col("decided_at").cast("timestamp").cast("double")
              - F.col("queued_at").cast("timestamp").cast("double")) / 3600
     decided = F.col("reviewer_decision").isNotNull()
     final = F.col("reviewer_decision").isin("APPROVED", "MODIFIED", "REJECTED")
+    correct = F.count_if(F.col("mapped") & (F.col("reviewer_decision") == "APPROVED"))
     return joined.groupBy("recommended_reviewer_role").agg(
         F.count(F.lit(1)).alias("items"), F.count_if(decided).alias("decided"), F.count_if(~decided).alias("open"),
         F.count_if(F.col("reviewer_decision").isin("MODIFIED", "REJECTED")).alias("overridden"),
         F.try_divide(F.count_if(F.col("reviewer_decision").isin("MODIFIED", "REJECTED")),
                      F.count_if(final)).alias("override_rate"),
-        F.percentile_approx(hours, 0.5).alias("median_turnaround_hours"))
+        F.percentile_approx(hours, 0.5).alias("median_turnaround_hours"),
+        F.try_divide(correct, F.count_if(F.col("mapped") & final)).alias("mapping_precision"),
+        F.try_divide(correct, correct + F.count_if(F.col("reviewer_decision") == "MODIFIED")).alias("mapping_recall"))
