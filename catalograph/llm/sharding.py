@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalograph.llm.support import let, written
+from catalograph.llm.support import let, unused, written
 
 N_SHARDS = 16
 BITS = 4
@@ -105,15 +105,16 @@ def hilbert_shards(documents: DataFrame, n_shards: int = N_SHARDS, bits: int = B
 
     The dimensions are the text's size by quantiles, lang and source. A row's
     rank is the number of rows in earlier (cell, salt) buckets, from one count
-    per bucket, plus its place inside its bucket; so no task holds more than a
-    bucket, and a cell with a third of all rows is spread over its salts.
+    per bucket, plus its place inside its bucket. The salt comes from a hash of
+    id and text, so a cell with a third of all rows, be they copies of one text or
+    null, is spread over its salts; only rows alike in both stay together.
     """
     text = F.col("text").cast("string")
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        F.xxhash64(text).alias("key"),
+        F.xxhash64("doc_id", text).alias("key"),
         category_cell(F.col("lang").cast("string"), bits).alias("lang_cell"),
         category_cell(F.col("source").cast("string"), bits).alias("source_cell"))
     rows = written(rows, "shard-rows")
@@ -142,12 +143,13 @@ def hilbert_shards(documents: DataFrame, n_shards: int = N_SHARDS, bits: int = B
 
 def write_shards(documents: DataFrame, target: str, n_shards: int = N_SHARDS, bits: int = BITS) -> None:
     """Write whole documents by shard, each in curve order, so file statistics prune every dimension."""
+    own_crc, own_shard, own_slot = (unused(documents, name) for name in ("__crc", "__shard", "__slot"))
     placed = hilbert_shards(documents, n_shards, bits).select(
-        F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard", "slot")
+        F.col("doc_id").alias("placed_id"), F.col("text_crc32").alias("placed_crc"), "shard", "slot")
     crc = F.coalesce(F.crc32(F.col("text").cast("string").cast("binary")), F.lit(0))
-    unique = placed.groupBy("__id", "__crc").agg(F.min(F.struct("shard", "slot")).alias("__at"))
-    at = documents.withColumn("__crc", crc).alias("d").join(
-        unique.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.__id")) & (F.col("d.__crc") == F.col("p.__crc")))
-    (at.select("d.*", F.col("p.__at.shard").alias("__shard"), F.col("p.__at.slot").alias("__slot")).drop("__crc")
-     .repartitionByRange("__shard", "__slot").sortWithinPartitions("__shard", "__slot").drop("__slot")
-     .write.partitionBy("__shard").parquet(target))
+    unique = placed.groupBy("placed_id", "placed_crc").agg(F.min(F.struct("shard", "slot")).alias("placed_at"))
+    at = documents.withColumn(own_crc, crc).alias("d").join(
+        unique.alias("p"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("p.placed_id")) & (F.col(f"d.{own_crc}") == F.col("p.placed_crc")))
+    (at.select("d.*", F.col("p.placed_at.shard").alias(own_shard), F.col("p.placed_at.slot").alias(own_slot)).drop(own_crc)
+     .repartitionByRange(own_shard, own_slot).sortWithinPartitions(own_shard, own_slot).drop(own_slot)
+     .write.partitionBy(own_shard).parquet(target))

@@ -376,3 +376,13 @@ def test_token_files(spark, docs, sample):
     target = support.new_path(spark, "tokens.orc")
     tokens_orc.write_tokens(docs.limit(0), target, path)
     assert tokens_orc.token_index(tokens_orc.read_tokens(spark, target)).isEmpty()
+
+
+def test_copies_of_one_text_are_ranked_apart(spark):
+    rows = spark.range(3_000).selectExpr("id AS doc_id", "'the same text' AS text", "'en' AS lang", "'s' AS source", "1 AS __shard", "'x' AS __crc")
+    found = sharding.hilbert_shards(rows)
+    assert sorted(r["count"] for r in found.groupBy("shard").count().collect()) == [187] * 8 + [188] * 8
+    target = support.new_path(spark, "shards")
+    sharding.write_shards(rows, target)
+    back = spark.read.parquet(target)
+    assert back.count() == 3_000 and back.select("__shard", "__crc").distinct().collect() == [(1, "x")]
