@@ -23,15 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm import textblocks as tb
-from catalograph.llm.support import slices, text_column
+from catalograph.llm.support import slices, text_column, written
 
 GRAM = 4
 HASHES = 3
-# An n-gram enters a language's filter if it is this share of the language's n-grams at
-# least (so a filter holds at most 1 / MIN_RATE of them) and this share of its highest
-# rate in any language.
+# An n-gram enters the filter of every language of whose n-grams it is this share at least,
+# so a filter holds at most 1 / MIN_RATE of them.
 MIN_RATE = 1e-5
-MIN_OF_BEST = 0.25
 SLOTS_PER_GRAM = 12
 UNDETERMINED = "und"
 
@@ -134,8 +132,8 @@ def train(documents: DataFrame) -> LanguageFilters | None:
 
     rows = (documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
             .select(text_column(documents).alias("text"), F.col("lang").cast("string").alias("lang")))
-    grams = (rows.mapInArrow(counts, "lang string, gram long, n long")
-             .groupBy("gram", "lang").agg(F.sum("n").alias("n")))
+    grams = written(rows.mapInArrow(counts, "lang string, gram long, n long")
+                    .groupBy("gram", "lang").agg(F.sum("n").alias("n")), "language-grams")
     by_gram = grams.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("held"))
     totals = grams.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
     if not totals:
@@ -145,9 +143,7 @@ def train(documents: DataFrame) -> LanguageFilters | None:
     # a list holds one entry a language, so it is bounded by their number
     rated = by_gram.select("gram", F.transform("held", lambda h: F.struct(
         h["lang"].alias("lang"), (h["n"] / F.element_at(size, h["lang"])).alias("rate"))).alias("held"))
-    best = F.array_max(F.transform("held", lambda h: h["rate"]))
-    chosen = rated.select("gram", F.filter("held", lambda h: (h["rate"] >= MIN_RATE) & (
-        h["rate"] >= MIN_OF_BEST * best)).alias("held")).where(F.size("held") > 0)
+    chosen = rated.select("gram", F.filter("held", lambda h: h["rate"] >= MIN_RATE).alias("held")).where(F.size("held") > 0)
     found = chosen.select("gram", F.transform("held", lambda h: h["lang"]).alias("langs")).toPandas()
     return build_filters(languages, [r["n"] for r in totals], found.gram.to_numpy(np.int64), found.langs.tolist())
 
