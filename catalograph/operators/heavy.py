@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.operators.profile import frequent_items, long_values
+from catalograph.operators.profile import LONG_VALUE, frequent_items, long_values
 
 TRACKED = 2_048
 # Fixed values of the counter summary: its load, and its error as a share of rows times map size.
@@ -28,11 +28,16 @@ def map_size(tracked: int) -> int:
     return 1 << math.ceil(math.log2(tracked / LOAD))
 
 
+def _key_sql(text: str) -> str:
+    """The value as summaries hold it: long ones by their SHA-256, so that a summary's size is bounded in bytes too."""
+    return f"if(length({text}) > {LONG_VALUE}, sha2(cast({text} AS binary), 256), {text})"
+
+
 def summaries(df: DataFrame, columns: list[str], tracked: int = TRACKED) -> DataFrame:
     """source_column, filled rows, estimated distinct values and the counter summary of each column, in one pass."""
     parts = []
     for i, name in enumerate(columns):
-        text = "cast(`%s` AS string)" % name.replace("`", "``")
+        text = _key_sql("cast(`%s` AS string)" % name.replace("`", "``"))
         parts += [F.expr(f"count({text})").alias(f"n{i}"), F.expr(f"approx_count_distinct({text})").alias(f"d{i}"),
                   F.expr(f"approx_top_k_accumulate({text}, {tracked}) FILTER (WHERE {text} IS NOT NULL)").alias(f"s{i}")]
     rows = [F.struct(F.lit(c).alias("source_column"), F.col(f"n{i}").alias("filled"), F.col(f"d{i}").alias("distinct_estimate"),
@@ -55,9 +60,9 @@ def heavy_hitters(df: DataFrame, columns: list[str], k: int, tracked: int = TRAC
                          F.expr(f"transform(approx_top_k_estimate(summary, {tracked}), x -> x.item)").alias("items")).collect()
     proposed = [(r["source_column"], v) for r in held for v in r["items"]]
     spark = df.sparkSession
-    candidates = spark.createDataFrame(proposed, "source_column string, value string")
-    counted = (long_values(df, columns).join(F.broadcast(candidates), ["source_column", "value"])
-               .groupBy("source_column", "value").agg(F.count(F.lit(1)).alias("n")))
+    candidates = spark.createDataFrame(proposed, "source_column string, key string")
+    counted = (long_values(df, columns).withColumn("key", F.expr(_key_sql("value"))).join(F.broadcast(candidates), ["source_column", "key"])
+               .groupBy("source_column", "key").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value")))
     ranked = counted.selectExpr("source_column", "value", "n",
                                 "row_number() OVER (PARTITION BY source_column ORDER BY n DESC, value) AS position").where(F.col("position") <= k)
     size = map_size(tracked)
