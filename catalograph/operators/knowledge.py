@@ -6,9 +6,12 @@ for concepts, bundles, patterns and registrations are compositions of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.functions.skew import spread
 from catalograph.functions.small import rule_frame
 from catalograph.operators.contracts import pattern_rules
 from catalograph.operators.globs import as_like, matching_names
@@ -282,16 +285,23 @@ def match_patterns(attributes: DataFrame, patterns: DataFrame | None = None) ->
     }) if patterns is None else _scored(attributes, patterns)
 
 
-def fitting(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+def opened_tables(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+    """name, pattern: which lower-case object globs fit which lower-case table names."""
+    return matching_names(spread(attributes.select(F.lower("source_table").alias("name")), "name").distinct(),
+                          patterns.select(F.lower("source_object_pattern").alias("pattern")).distinct())
+
+
+def fitting(attributes: DataFrame, patterns: DataFrame, opened: DataFrame | None = None) -> DataFrame:
     """Each attribute with each pattern whose object and attribute globs both fit, without regard to case.
 
     Object globs meet the distinct table names through ``globs.matching_names``;
     an attribute glob is tried only in the tables that its object glob fits.
+    ``opened`` are the ``opened_tables`` where the caller has them.
     """
     rules = patterns.withColumns({"object_glob": F.lower("source_object_pattern"), "attribute_like": as_like(F.col("source_attribute_pattern"))})
-    tables = attributes.select(F.lower("source_table").alias("name")).distinct()
-    opened = matching_names(tables, rules.select(F.col("object_glob").alias("pattern")).distinct())
-    ruled = opened.join(rules, opened["pattern"] == rules["object_glob"]).drop("pattern")
+    opened = opened_tables(attributes, patterns) if opened is None else opened
+    # a glob may fit every table, so rules go to the tables and not both to the glob
+    ruled = opened.join(F.broadcast(rules), opened["pattern"] == rules["object_glob"]).drop("pattern")
     return (attributes.join(ruled, F.lower("source_table") == F.col("name")).where(F.expr("lower(source_column) LIKE attribute_like"))
             .drop("name", "object_glob", "attribute_like"))
 
@@ -305,28 +315,33 @@ def _scored(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
         "cots_availability", F.when(F.col("cots_match_strength").isNull(), "NOT_AVAILABLE").otherwise("AVAILABLE"))
 
 
-def assess_structure(attributes: DataFrame, patterns: DataFrame) -> DataFrame:
+def assess_structure(attributes: DataFrame, patterns: DataFrame,
+                     store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """How far each table shows the structure that a pack expects of it.
 
     ``patterns``: pattern_id, pack_id, pattern_type (ATTRIBUTE or EXTENSION_MARKER), source_object_pattern,
     source_attribute_pattern, expected_confidence, required. A table is compared with every pack
     that has an object pattern for it. All required attributes there: MATCHED; some of them, or
     an extension marker: LIKELY_CUSTOM_EXTENSION; else UNRESOLVED. ``pattern_id`` is the hit of
-    highest confidence, smallest id first; nothing is approved by it.
+    highest confidence, smallest id first; nothing is approved by it. Which globs fit which
+    tables is read twice; ``store(frame, name)`` may write it once.
     """
     tables = attributes.select("source_table").distinct()
-    opened = matching_names(tables.select(F.lower("source_table").alias("name")).distinct(),
-                            patterns.select(F.lower("source_object_pattern").alias("pattern")).distinct())
+    opened = opened_tables(attributes, patterns)
+    opened = store(opened, "opened-tables") if store is not None else opened
     rules = patterns.withColumn("object_glob", F.lower("source_object_pattern"))
-    expected = opened.join(rules, opened["pattern"] == rules["object_glob"]).groupBy("name", "pack_id").agg(
+    expected = opened.join(F.broadcast(rules), opened["pattern"] == rules["object_glob"]).groupBy("name", "pack_id").agg(
         F.count_distinct(F.when(F.col("required") & (F.col("pattern_type") == "ATTRIBUTE"), F.col("pattern_id"))).alias("required_attributes"))
     marker = F.col("pattern_type") == "EXTENSION_MARKER"
-    hits = fitting(attributes.select("source_table", "source_column"), patterns).groupBy("source_table", "pack_id").agg(
+    # dealt by table into a fixed number of tasks: short names would be merged into few of them
+    folded = F.lower("source_table")
+    dealt = spread(attributes.select("source_table", "source_column"), folded)
+    hits = fitting(dealt, patterns, opened).groupBy(folded.alias("name"), "source_table", "pack_id").agg(
         F.count_distinct(F.when(F.col("required") & ~marker, F.col("pattern_id"))).alias("found_attributes"),
         F.count_distinct(F.when(marker, F.col("source_column"))).alias("extension_columns"),
-        F.min(F.when(~marker, F.struct((-F.col("expected_confidence")).alias("c"), F.col("pattern_id").alias("p")))).alias("best"))
+        F.min(F.when(~marker, F.struct((-F.col("expected_confidence")).alias("c"), F.col("pattern_id").alias("p")))).alias("best")).drop("name")
     found = F.coalesce("found_attributes", F.lit(0))
-    rows = (tables.withColumn("name", F.lower("source_table")).join(expected, "name").drop("name")
+    rows = (spread(tables.withColumn("name", F.lower("source_table")).join(expected, "name").drop("name"), "source_table", "pack_id")
             .join(hits, ["source_table", "pack_id"], "left"))
     return rows.select(
         "source_table", "pack_id", F.col("best.p").alias("pattern_id"), "required_attributes", found.alias("found_attributes"),

@@ -120,6 +120,25 @@ def test_globs_equal_trying_all(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_many_patterns_take_the_salted_path(spark):
+    rng = random.Random(4)
+    text = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    names = spark.createDataFrame([(n,) for n in {"stg" + text("abc", rng.randrange(0, 6)) for _ in range(200)}], "name string")
+    patterns = spark.createDataFrame([(p,) for p in {"stg*", "*", "???"} | {text("abst*?", 3) for _ in range(60)}], "pattern string")
+    few = globs.matching_names(names, patterns)
+    many = globs.matching_names(names, patterns, few_patterns=1, names_per_salt=7)
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() > 200
+
+
+def test_no_task_takes_all_names_of_a_run(spark):
+    names = spark.range(2_000).select(F.concat(F.lit("stg_"), "id").alias("name"))
+    found = globs.matching_names(names, spark.createDataFrame([("stg*",), ("*",)], "pattern string"))
+    # patterns go to the names: a join by run or salt would send all names of a run to one task
+    joins = [line for line in _plan(found).splitlines() if "Join" in line and ("[run#" in line or "[salt#" in line)]
+    assert joins and not [line for line in joins if "SortMergeJoin" in line and "LeftOuter" not in line]
+    assert found.count() == 4_000
+
+
 def test_ten_thousand_patterns(spark):
     names = spark.range(3_000).select(F.concat(F.lit("tab_"), F.hex(F.xxhash64("id"))).alias("source_table"), F.lit("col").alias("source_column"))
     patterns = spark.range(10_000).select(F.lit("ATTRIBUTE").alias("pattern_type"), F.concat(
