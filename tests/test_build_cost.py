@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalograph.functions import text
 from catalograph.functions.skew import lookup_join
 from catalograph.functions.text import break_camel, identifier_signature
 from catalograph.operators import keys as K
@@ -61,3 +62,14 @@ def test_signatures_are_as_without_the_first_look(spark):
     expected = F.nullif(F.regexp_extract(plain, "(?:^| )((?:[a-z0-9]+ )?(?:id|key))$", 1), F.lit(""))
     assert frame.where(~F.equal_null(identifier_signature(F.col("n")), expected)).isEmpty()
     assert frame.where(~F.equal_null(break_camel(F.col("n")), F.regexp_replace("n", "([a-z0-9])([A-Z])", "$1_$2"))).isEmpty()
+
+
+def test_key_roles_cut_a_name_once(spark):
+    names = [(n,) for n in ("ord1_id", "id", "key", "Key", "custId", "a_b_key", "idx", "_id_", "x-ID", "id_x", "", "é_id", "a  id\n", None)]
+    frame = spark.createDataFrame(names, "n string").withColumn("t", text.identifier_text(F.col("n")))
+    tail = "(?:^| )((?:[a-z0-9]+ )?(?:id|key))$"
+    assert frame.where(~F.equal_null(text.signature_of(F.col("t")), F.nullif(F.regexp_extract("t", tail, 1), F.lit("")))).isEmpty()
+    assert frame.where(~F.equal_null(text.lead_of(F.col("t")), F.regexp_replace("t", " ?[a-z0-9]+$", ""))).isEmpty()
+    # signature and lead are taken off the cut name by plain string functions
+    plan = K.key_roles(_attributes(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and " ?[a-z0-9]+$" not in plan
