@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.operators.profile import quoted, value_text
+from catalograph.operators.profile import plain_zero, quoted, value_text
 
 _BITS = 63
 
@@ -42,23 +42,34 @@ def comparable_columns(tables: dict[str, DataFrame], alone: bool = False) -> lis
 
 
 def _cell(column: Column, family: str) -> Column:
-    return value_text(column.cast("double"), T.DoubleType()) if family == "float" else value_text(column, T.StringType())
+    """A value in the one type of its family; text of over 64 characters by its SHA-256."""
+    if family == "text":
+        return value_text(column.cast("string"), T.StringType())
+    if family == "float":
+        return plain_zero(column.cast("double"), T.DoubleType())
+    return column.cast({"integer": "bigint"}.get(family, family.replace("decimal(", "decimal(38,")))
 
 
 def column_sets(tables: dict[str, DataFrame], columns: list[tuple[str, str, str]]) -> DataFrame:
-    """set (array of longs, one bit a column of ``columns``) and values: how many distinct values exactly these hold."""
+    """set (array of longs, one bit a column of ``columns``) and values: how many distinct values exactly these hold.
+
+    Each family is grouped in its own type: numbers and times are neither written as text nor compared as such.
+    """
     words = range(-(-len(columns) // _BITS))
-    cells = None
-    for name, df in tables.items():
-        own = [(i, c, family) for i, (t, c, family) in enumerate(columns) if t == name]
-        if not own:
-            continue
-        rows = df.select(F.inline(F.array(*[F.struct(
-            F.lit(family).alias("family"), _cell(quoted(c), family).alias("value"),
-            *[F.lit(1 << i % _BITS if i // _BITS == w else 0).cast("long").alias(f"w{w}") for w in words])
-            for i, c, family in own]))).where("value IS NOT NULL")
-        cells = rows if cells is None else cells.unionByName(rows)
-    held = cells.groupBy("family", "value").agg(*[F.bit_or(f"w{w}").alias(f"w{w}") for w in words])
+    held = None
+    for family in dict.fromkeys(f for _, _, f in columns):
+        cells = None
+        for name, df in tables.items():
+            own = [(i, c) for i, (t, c, f) in enumerate(columns) if t == name and f == family]
+            if not own:
+                continue
+            rows = df.select(F.inline(F.array(*[F.struct(
+                _cell(quoted(c), family).alias("value"),
+                *[F.lit(1 << i % _BITS if i // _BITS == w else 0).cast("long").alias(f"w{w}") for w in words])
+                for i, c in own]))).where("value IS NOT NULL")
+            cells = rows if cells is None else cells.unionByName(rows)
+        sets = cells.groupBy("value").agg(*[F.bit_or(f"w{w}").alias(f"w{w}") for w in words]).drop("value")
+        held = sets if held is None else held.unionByName(sets)
     return (held.groupBy(*[f"w{w}" for w in words]).agg(F.count(F.lit(1)).alias("values"))
             .select(F.array(*[f"w{w}" for w in words]).alias("set"), "values"))
 
