@@ -208,7 +208,7 @@ queue AS (SELECT * FROM aq UNION ALL SELECT * FROM dq)"""
 @query(obs_query(f"SELECT {_QUEUE_COLUMNS} FROM aq", _ATTRIBUTE_QUEUE))
 def attribute_queue(spark, sf_dir):
     """Queue rows of routed attributes."""
-    return W.attribute_queue(observations(spark, sf_dir), created()).drop("queued_at")
+    return W.attribute_queue(observed(spark, sf_dir), created()).drop("queued_at")
 
 
 @query(obs_query(f"SELECT {_QUEUE_COLUMNS} FROM dq", _QUEUE))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalograph.functions import shared
 from catalograph.operators import report as E
 from catalograph.operators import review as W
-from checks import base, governance, observed
+from checks import base, governance, names_and_keys, observed
 
 
 def _stored():
@@ -81,3 +81,11 @@ def test_newest_decisions_are_written_once_for_both_readers(spark, sf_dir):
     stored = E.publish_dictionary(*parts, store=store)
     assert kept == [("latest_decisions", ["queue_item_id", "reviewer_decision"])]
     assert sorted(stored.collect(), key=repr) == sorted(E.publish_dictionary(*parts).collect(), key=repr)
+
+
+def test_routes_references_and_the_attribute_queue_do_not_store_the_observations(spark, sf_dir, monkeypatch):
+    queries = governance.attribute_queue, names_and_keys.review_routes, names_and_keys.object_evidence
+    whole = [query(spark, sf_dir).count() for query in queries]
+    monkeypatch.setattr(base, "_WRITTEN", {k: v for k, v in base._WRITTEN.items() if k[2] != "observations"})
+    assert [query(spark, sf_dir).count() for query in queries] == whole
+    assert "observations" not in _stored()
